@@ -117,14 +117,14 @@ def _cast_audit(columns: list[tuple[str, str]], kind: str) -> str:
 
 
 def _flags(table: str, names) -> str:
-    return _all([f"select '{name}' as flag, count_if({name}) as linhas from {table}" for name in names])
+    return _all([f"select '{name}' as flag, count(*) filter ({name}) as linhas from {table}" for name in names])
 
 
 def _not_null() -> str:
     return _all(
         [
             f"select '{table}' as tabela, '{name}' as coluna, 'not_null' as teste, "
-            f"count_if({name} is null) as violacoes from {TABLE_OF[table]}"
+            f"count(*) filter ({name} is null) as violacoes from {TABLE_OF[table]}"
             for table, names in c.NOT_NULL.items()
             for name in names
         ]
@@ -155,7 +155,7 @@ def _nonnull() -> str:
 def _nulls(columns: list[tuple[str, str]]) -> str:
     return _all(
         [
-            f"select '{table}' as tabela, '{name}' as coluna, count_if({name} is null) as nulos from stg_{table}"
+            f"select '{table}' as tabela, '{name}' as coluna, count(*) filter ({name} is null) as nulos from stg_{table}"
             for table, name in columns
         ]
     )
@@ -318,7 +318,7 @@ OVER_TABLES = {
     "vintage_ages": "select * from curve",
     "mart_kpis_vintage": "select * replace (round(kpi_valor, 9) as kpi_valor) from vintage_kpis",
     "default_rate_90": """
-        select round(count_if(dpd_atual >= 90) / nullif(count_if(status_derivado in ('ativo', 'inadimplente')), 0)::double, 9)
+        select round(count(*) filter (dpd_atual >= 90) / nullif(count(*) filter (status_derivado in ('ativo', 'inadimplente')), 0)::double, 9)
             as taxa_inadimplencia_90
         from loan_mart""",
     "par_ratios": """
@@ -327,8 +327,8 @@ OVER_TABLES = {
         from loan_mart where status_derivado in ('ativo', 'inadimplente')""",
     "origination_vintage": """
         select cast(date_trunc('month', data_concessao) as date) as mes_originacao, count(*) as qtd_contratos,
-            count_if(dpd_atual >= 90) as qtd_inadimplentes_90,
-            round(count_if(dpd_atual >= 90) / count(*)::double, 9) as taxa_inadimplencia_90
+            count(*) filter (dpd_atual >= 90) as qtd_inadimplentes_90,
+            round(count(*) filter (dpd_atual >= 90) / count(*)::double, 9) as taxa_inadimplencia_90
         from loan_mart group by 1""",
     "recurring_customer_share": """
         select round(avg(if(cliente_recorrente, 1e0, 0e0)), 9) as pct_clientes_recorrentes
@@ -338,11 +338,11 @@ OVER_TABLES = {
     "dq_payments": _flags("stg_payments", PAYMENT_FLAGS),
     "dq_derived": """
         select 'int_installments' as tabela, 'dq_parcela_sem_registro_pagamento' as flag,
-            count_if(dq_parcela_sem_registro_pagamento) as linhas from installments
+            count(*) filter (dq_parcela_sem_registro_pagamento) as linhas from installments
         union all
-        select 'int_loan_performance', 'dq_status_divergente', count_if(dq_status_divergente) from performance
+        select 'int_loan_performance', 'dq_status_divergente', count(*) filter (dq_status_divergente) from performance
         union all
-        select 'raw_loans', 'prazo_meses_com_espaco', count_if(prazo_meses != trim(prazo_meses)) from raw_loans""",
+        select 'raw_loans', 'prazo_meses_com_espaco', count(*) filter (prazo_meses != trim(prazo_meses)) from raw_loans""",
     "check_not_null": _not_null(),
     "check_unique": _unique(),
     "repeated_installments": """

@@ -140,7 +140,7 @@ def definitions(day: str) -> dict[str, str]:
         "totals": """
             select loan_id, max(if(vencida_em_aberto, dpd_efetivo, 0)) as dpd_atual,
                 sum(valor_em_aberto) as saldo_em_aberto_aprox,
-                count_if(dq_parcela_sem_registro_pagamento) as parcelas_sem_registro,
+                count(*) filter (dq_parcela_sem_registro_pagamento) as parcelas_sem_registro,
                 cast(bool_or(dpd_efetivo >= 30) as integer) as ever_30,
                 cast(bool_or(dpd_efetivo >= 90) as integer) as ever_90
             from installments group by loan_id""",
@@ -170,21 +170,21 @@ def definitions(day: str) -> dict[str, str]:
             [
                 _kpi(
                     "taxa_inadimplencia_contratos",
-                    "count_if(status_derivado = 'inadimplente') / nullif(count(*), 0)::double",
+                    "count(*) filter (status_derivado = 'inadimplente') / nullif(count(*), 0)::double",
                     "loan_mart", day,
                 ),
                 _kpi("par30_valor_em_aberto", "sum(if(dpd_efetivo >= 30, valor_em_aberto, 0e0))", "installments", day),
                 _kpi("par90_valor_em_aberto", "sum(if(dpd_efetivo >= 90, valor_em_aberto, 0e0))", "installments", day),
                 _kpi(
                     "pct_clientes_multiplos_contratos",
-                    "count_if(cliente_recorrente) / nullif(count(*), 0)::double",
+                    "count(*) filter (cliente_recorrente) / nullif(count(*), 0)::double",
                     "recurrence", day,
                 ),
                 _kpi("yield_efetivo_aprox", "sum(valor_pago) / nullif(sum(valor_devido), 0)", "installments", day),
                 _kpi(
                     "pct_parcelas_pagas_em_dia",
-                    "count_if(status_parcela = 'pago_integral' and dpd_efetivo <= 0)"
-                    f" / nullif(count_if(data_vencimento <= date '{day}'), 0)::double",
+                    "count(*) filter (status_parcela = 'pago_integral' and dpd_efetivo <= 0)"
+                    f" / nullif(count(*) filter (data_vencimento <= date '{day}'), 0)::double",
                     "installments", day,
                 ),
             ]
@@ -203,8 +203,8 @@ def definitions(day: str) -> dict[str, str]:
                 cast(data_concessao + to_months(cast(idade_meses as integer)) as date) as na_idade
             from first_defaults, unnest(range(1, 13)) as series(idade_meses)""",
         "curve": f"""
-            select coorte_origem_mes, idade_meses, count_if(na_idade <= date '{day}') as elegiveis,
-                count_if(na_idade <= date '{day}' and data_default_90 <= na_idade) as em_default
+            select coorte_origem_mes, idade_meses, count(*) filter (na_idade <= date '{day}') as elegiveis,
+                count(*) filter (na_idade <= date '{day}' and data_default_90 <= na_idade) as em_default
             from ages group by all""",
         "vintage_kpis": f"""
             select date '{day}' as data_referencia, coorte_origem_mes, idade_meses, 'vintage_default_90' as kpi_nome,

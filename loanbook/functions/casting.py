@@ -2,8 +2,10 @@
 
 Spark's own ``try_cast`` accepts a few forms it should not here (``1.5d``,
 ``0x1p3``, a bare year as a date) and misses some it should (``1_000``, ``12.0``
-as an integer). Plain values take the short way through ``try_cast``; only text
-of an unusual shape pays for the full pattern.
+as an integer). Plain values go straight to ``try_cast``; only text of an unusual
+shape pays for the full pattern. Each function names its text once or twice
+only, so that the generated code of a stage with many casts stays small enough
+to be compiled.
 """
 
 from __future__ import annotations
@@ -14,10 +16,13 @@ from pyspark.sql import functions as F
 # Accepted spellings of numbers and dates.
 DIGITS = r"\d+(?:_\d+)*"
 NUMBER = rf"^\s*[+-]?(?:(?:{DIGITS})?(?:\.(?:{DIGITS})?)?(?:[eE][+-]?\d+)?|(?i:nan|inf|infinity))\s*$"
-UNUSUAL_NUMBER = r"[dDfFxX_]|-[nN]"
+UNUSUAL_NUMBER = "[dDfFxX_]"
+PLAIN_DATE = r"^\d{4}-\d\d-\d\d$"
 TIME_OF_DAY = r"[ T](?:[01]?\d|2[0-4]):[0-5]?\d(?::[0-5]?\d(?:\.\d*)?)?"
 ZONE = r"(?:Z|UTC|[+-]\d{1,2}(?::?\d{2})?)"
 DATE = rf"^\s*(\d{{4,5}})([-/ \\])(\d{{1,2}})\2(\d{{1,2}})(?:{TIME_OF_DAY}\s*{ZONE}?)?\s*$"
+# A date, or else the whole text, with all groups empty.
+DATE_OR_ANYTHING = rf"{DATE}|(?s:^.*$)"
 
 
 def trimmed(column: str) -> Column:
@@ -26,11 +31,8 @@ def trimmed(column: str) -> Column:
 
 
 def safe_double(text: Column) -> Column:
-    plain = ~text.rlike(UNUSUAL_NUMBER)
-    unusual = F.regexp_replace(text, r"_|^\s*-(?=[nN])", "")
-    return F.when(plain, text.try_cast("double")).when(
-        text.rlike(NUMBER), unusual.try_cast("double")
-    )
+    unusual = F.when(text.rlike(NUMBER), F.translate(text, "_", ""))
+    return F.when(text.rlike(UNUSUAL_NUMBER), unusual).otherwise(text).try_cast("double")
 
 
 def safe_int(text: Column) -> Column:
@@ -39,10 +41,5 @@ def safe_int(text: Column) -> Column:
 
 
 def safe_date(text: Column) -> Column:
-    iso = (
-        (F.length(text) == 10)
-        & (F.substring(text, 5, 1) == "-")
-        & (F.substring(text, 8, 1) == "-")
-    )
-    rebuilt = F.regexp_replace(text, DATE, "$1-$3-$4")
-    return F.when(iso, text.try_cast("date")).when(text.rlike(DATE), rebuilt.try_cast("date"))
+    rebuilt = F.regexp_replace(text, DATE_OR_ANYTHING, "$1-$3-$4")
+    return F.when(text.rlike(PLAIN_DATE), text).otherwise(rebuilt).try_cast("date")

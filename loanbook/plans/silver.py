@@ -6,7 +6,7 @@ than their texts, so less goes through the shuffle of the latest-row step.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanbook import contract as c
@@ -17,47 +17,55 @@ from loanbook.operators.latest import latest_per_key
 from loanbook.snapshot import Snapshot
 
 
-def ingested_on() -> Column:
-    return safe_date(F.col(c.INGESTION_COLUMN).cast("string")).alias("data_ingestao")
+def _as_text(raw: DataFrame, columns: list[str]) -> DataFrame:
+    """Ingestion date and trimmed texts, each worked out once for all its uses.
+
+    The ingestion date is a partition column, which Spark reads as a date where
+    all partitions are named by one.
+    """
+    ingested = F.col(c.INGESTION_COLUMN)
+    if dict(raw.dtypes)[c.INGESTION_COLUMN] != "date":
+        ingested = safe_date(ingested.cast("string"))
+    return raw.select(ingested.alias("data_ingestao"), *[trimmed(name).alias(name) for name in columns])
 
 
 def typed_customers(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        ingested_on(),
-        trimmed("customer_id").alias("customer_id"),
-        trimmed("nome").alias("nome"),
-        safe_date(trimmed("data_nascimento")).alias("data_nascimento"),
-        safe_double(trimmed("renda_mensal")).alias("renda_mensal"),
-        safe_double(trimmed("score_interno")).alias("score_interno"),
-        F.upper(trimmed("estado")).alias("estado"),
-        safe_date(trimmed("data_cadastro")).alias("data_cadastro"),
+    return _as_text(raw, c.RAW_COLUMNS["customers"]).select(
+        "data_ingestao",
+        "customer_id",
+        "nome",
+        safe_date(F.col("data_nascimento")).alias("data_nascimento"),
+        safe_double(F.col("renda_mensal")).alias("renda_mensal"),
+        safe_double(F.col("score_interno")).alias("score_interno"),
+        F.upper("estado").alias("estado"),
+        safe_date(F.col("data_cadastro")).alias("data_cadastro"),
     )
 
 
 def typed_loans(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        ingested_on(),
-        trimmed("loan_id").alias("loan_id"),
-        trimmed("customer_id").alias("customer_id"),
-        safe_date(trimmed("data_concessao")).alias("data_concessao"),
-        safe_double(trimmed("valor_contratado")).alias("valor_contratado"),
-        safe_int(trimmed("prazo_meses")).alias("prazo_meses"),
-        safe_double(trimmed("taxa_juros_anual")).alias("taxa_juros_anual"),
-        F.lower(trimmed("canal")).alias("canal"),
-        F.lower(trimmed("status")).alias("status_reportado"),
+    return _as_text(raw, c.RAW_COLUMNS["loans"]).select(
+        "data_ingestao",
+        "loan_id",
+        "customer_id",
+        safe_date(F.col("data_concessao")).alias("data_concessao"),
+        safe_double(F.col("valor_contratado")).alias("valor_contratado"),
+        safe_int(F.col("prazo_meses")).alias("prazo_meses"),
+        safe_double(F.col("taxa_juros_anual")).alias("taxa_juros_anual"),
+        F.lower("canal").alias("canal"),
+        F.lower("status").alias("status_reportado"),
     )
 
 
 def typed_payments(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        ingested_on(),
-        trimmed("payment_id").alias("payment_id"),
-        trimmed("loan_id").alias("loan_id"),
-        safe_date(trimmed("data_vencimento")).alias("data_vencimento"),
-        safe_date(trimmed("data_pagamento")).alias("data_pagamento"),
-        safe_double(trimmed("valor_parcela")).alias("valor_parcela"),
-        safe_double(trimmed("valor_pago")).alias("valor_pago"),
-        safe_int(trimmed("atraso_dias")).alias("atraso_dias"),
+    return _as_text(raw, c.RAW_COLUMNS["payments"]).select(
+        "data_ingestao",
+        "payment_id",
+        "loan_id",
+        safe_date(F.col("data_vencimento")).alias("data_vencimento"),
+        safe_date(F.col("data_pagamento")).alias("data_pagamento"),
+        safe_double(F.col("valor_parcela")).alias("valor_parcela"),
+        safe_double(F.col("valor_pago")).alias("valor_pago"),
+        safe_int(F.col("atraso_dias")).alias("atraso_dias"),
     )
 
 
