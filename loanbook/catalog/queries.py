@@ -65,11 +65,47 @@ class Book:
 
     @cached_property
     def daily_kpis(self) -> DataFrame:
-        return gold.mart_kpis_daily(self.loan_mart, self.installments, self.snapshot)
+        return gold.portfolio_kpis(self.loans, self.installments, self.snapshot)
 
     @cached_property
     def vintage_kpis(self) -> DataFrame:
-        return gold.mart_kpis_vintage(self.loan_mart, self.installments, self.snapshot)
+        return gold.mart_kpis_vintage(self.loans, self.installments, self.snapshot)
+
+
+class StoredBook(Book):
+    """The same tables with those that several others build on written to the
+    scratch folder first, for questions that need many of them."""
+
+    def _stored(self, name: str) -> DataFrame:
+        return tables.staged(getattr(super(), name), name)
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return self._stored("customers")
+
+    @cached_property
+    def loans(self) -> DataFrame:
+        return self._stored("loans")
+
+    @cached_property
+    def payments(self) -> DataFrame:
+        return self._stored("payments")
+
+    @cached_property
+    def installments(self) -> DataFrame:
+        return self._stored("installments")
+
+    @cached_property
+    def performance(self) -> DataFrame:
+        return self._stored("performance")
+
+    @cached_property
+    def daily_kpis(self) -> DataFrame:
+        return gold.mart_kpis_daily(self.loan_mart, self.installments, self.snapshot)
+
+    @classmethod
+    def of(cls, book: Book) -> StoredBook:
+        return cls(book.spark, book.sf_dir, book.snapshot)
 
 
 def rounded(rows: DataFrame, digits: int = 6, **by_column: int) -> DataFrame:
@@ -267,7 +303,7 @@ def _installment_kpis(book: Book) -> DataFrame:
 
 
 def _loan_kpis(book: Book) -> DataFrame:
-    return kpis.loan_kpis(book.loan_mart, book.snapshot.reference)
+    return kpis.loan_kpis(book.performance, book.snapshot.reference)
 
 
 def _customer_kpis(book: Book) -> DataFrame:
@@ -434,16 +470,18 @@ QUERIES: dict[str, Callable[[Book], DataFrame]] = {
     ),
     "vintage_ages": vintage_ages,
     "mart_kpis_vintage": lambda book: rounded(book.vintage_kpis, 9),
-    "default_rate_90": lambda book: rounded(adhoc.default_rate_90(book.loan_mart), 9),
-    "par_ratios": lambda book: rounded(adhoc.par_ratios(book.loan_mart), 9),
-    "origination_vintage": lambda book: rounded(adhoc.origination_vintage(book.loan_mart), 9),
-    "recurring_customer_share": lambda book: rounded(adhoc.recurring_customer_share(book.loan_mart), 9),
+    "default_rate_90": lambda book: rounded(adhoc.default_rate_90(book.performance), 9),
+    "par_ratios": lambda book: rounded(adhoc.par_ratios(book.performance), 9),
+    "origination_vintage": lambda book: rounded(adhoc.origination_vintage(book.performance), 9),
+    "recurring_customer_share": lambda book: rounded(
+        adhoc.recurring_customer_share(performance.with_recurrence(book.loans)), 9
+    ),
     "dq_customers": lambda book: checks.count_flags(book.customers, list(customer_flags())),
     "dq_loans": lambda book: checks.count_flags(book.loans, list(loan_flags())),
     "dq_payments": lambda book: checks.count_flags(book.payments, list(payment_flags())),
     "dq_derived": dq_derived,
-    "check_not_null": lambda book: checks.check_not_null(_checked_tables(book)),
-    "check_unique": lambda book: checks.check_unique(_checked_tables(book)),
+    "check_not_null": lambda book: checks.check_not_null(_checked_tables(StoredBook.of(book))),
+    "check_unique": lambda book: checks.check_unique(_checked_tables(StoredBook.of(book))),
     "repeated_installments": lambda book: checks.repeated_installments(book.installments),
     "profile_nonnull": profile_nonnull,
     "profile_head": profile_head,

@@ -9,8 +9,9 @@ from loanbook.functions import credit
 from loanbook.operators.joins import lookup
 
 
-def loan_totals(installments: DataFrame) -> DataFrame:
-    """One row per loan: current arrears, open balance and lateness marks."""
+def loan_totals(installments: DataFrame, *more: Column) -> DataFrame:
+    """One row per loan: current arrears, open balance and lateness marks, and
+    any further aggregates."""
     overdue = (F.col("valor_em_aberto") > 0) & (F.col("data_vencimento") < F.col("data_corte"))
     dpd = F.col("dpd_efetivo")
     return installments.groupBy("loan_id").agg(
@@ -19,13 +20,17 @@ def loan_totals(installments: DataFrame) -> DataFrame:
         F.count_if("dq_parcela_sem_registro_pagamento").alias("parcelas_sem_registro"),
         F.max((dpd >= 30).cast("int")).alias("ever_30"),
         F.max((dpd >= 90).cast("int")).alias("ever_90"),
+        *more,
     )
 
 
+def status_from_totals() -> Column:
+    return credit.derived_status(F.col("saldo_em_aberto_aprox"), F.col("dpd_atual"))
+
+
 def loan_performance(loans: DataFrame, installments: DataFrame, cut: Column) -> DataFrame:
     """Every loan with its totals, derived status and whether that contradicts
     the reported one. Loans without a schedule keep NULL totals."""
-    derived = credit.derived_status(F.col("saldo_em_aberto_aprox"), F.col("dpd_atual"))
     return (
         loans.select(
             "loan_id",
@@ -38,7 +43,7 @@ def loan_performance(loans: DataFrame, installments: DataFrame, cut: Column) ->
         )
         .join(loan_totals(installments), "loan_id", "left")
         .withColumn("data_corte", cut)
-        .withColumn("status_derivado", derived)
+        .withColumn("status_derivado", status_from_totals())
         .withColumn(
             "dq_status_divergente",
             credit.flag(F.lower("status_reportado") != F.col("status_derivado")),

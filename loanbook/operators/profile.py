@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanbook.operators.quantiles import exact_quantiles
+from loanbook.sources.tables import staged
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -68,7 +69,8 @@ def _number(name: str) -> Column:
 def describe(rows: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum of
     numeric columns: one row per column."""
-    numbers = rows.select([_number(name).alias(name) for name in columns])
+    # several passes follow, so the few columns they read are stored once
+    numbers = staged(rows.select([_number(name).alias(name) for name in columns]), "numbers")
     quartiles = exact_quantiles(numbers, columns, QUARTILES)
     measured = numbers.agg(
         *[

@@ -89,5 +89,10 @@ def mart_kpis_daily(loans: DataFrame, installments: DataFrame, snapshot: Snapsho
     return kpis.daily_kpis(loans, installments, snapshot.reference)
 
 
+def portfolio_kpis(loans: DataFrame, installments: DataFrame, snapshot: Snapshot) -> DataFrame:
+    """The rows of ``mart_kpis_daily`` where the two marts are not stored."""
+    return kpis.daily_kpis_in_one_pass(loans, installments, snapshot.reference)
+
+
 def mart_kpis_vintage(loans: DataFrame, installments: DataFrame, snapshot: Snapshot) -> DataFrame:
     return vintage.vintage_kpis(loans, installments, snapshot.reference)
