@@ -285,7 +285,7 @@ OVER_TABLES = {
         from installments""",
     "enriched_installments": """
         select canal, estado, status_parcela, count(*) as parcelas, count(nome) as com_cliente,
-            round(sum(valor_em_aberto), 2) as valor_em_aberto
+            round(cast(sum(cast(valor_em_aberto as decimal(18, 3))) as double), 3) as valor_em_aberto
         from installment_mart group by all""",
     "loan_open_balance": """
         select loan_id, dpd_atual, round(saldo_em_aberto_aprox, 4) as saldo_em_aberto_aprox,

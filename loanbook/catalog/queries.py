@@ -270,9 +270,9 @@ def enriched_installments(book: Book) -> DataFrame:
     grouped = mart.groupBy("canal", "estado", "status_parcela").agg(
         F.count(F.lit(1)).alias("parcelas"),
         F.count("nome").alias("com_cliente"),
-        F.sum("valor_em_aberto").alias("valor_em_aberto"),
+        F.sum(F.col("valor_em_aberto").cast("decimal(18,3)")).cast("double").alias("valor_em_aberto"),
     )
-    return rounded(grouped, 2)
+    return rounded(grouped, 3)
 
 
 def loan_open_balance(book: Book) -> DataFrame:
