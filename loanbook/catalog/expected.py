@@ -79,7 +79,7 @@ TABLE_OF = {
     "mart_kpis_vintage": "vintage_kpis",
 }
 
-SCHEDULED = "loan_id, customer_id, data_concessao, prazo_meses, status_reportado, round(pmt_teorica, 6) as pmt_teorica"
+SCHEDULED = "loan_id, customer_id, data_concessao, prazo_meses, status_reportado, round(pmt_teorica, 4) as pmt_teorica"
 KPI_ROUNDED = (
     "data_referencia, kpi_nome, round(kpi_valor, if(starts_with(kpi_nome, 'par'), 2, 9)) as kpi_valor, kpi_descricao"
 )
@@ -197,15 +197,15 @@ def _frequencies(columns: list[tuple[str, str]]) -> str:
 
 PAYMENT_ROWS = (
     "data_ingestao, payment_id, loan_id, data_vencimento, data_pagamento, "
-    "round(valor_parcela, 6) as valor_parcela, round(valor_pago, 6) as valor_pago, atraso_dias"
+    "round(valor_parcela, 4) as valor_parcela, round(valor_pago, 4) as valor_pago, atraso_dias"
 )
 INSTALLMENT_AMOUNTS = (
-    "round(valor_devido, 6) as valor_devido, round(valor_pago, 6) as valor_pago, "
-    "round(valor_em_aberto, 6) as valor_em_aberto"
+    "round(valor_devido, 4) as valor_devido, round(valor_pago, 4) as valor_pago, "
+    "round(valor_em_aberto, 4) as valor_em_aberto"
 )
 REPORTED = (
-    "data_pagamento, round(valor_parcela_informada, 6) as valor_parcela_informada, "
-    "round(valor_pago_informado, 6) as valor_pago_informado, atraso_dias_informado, "
+    "data_pagamento, round(valor_parcela_informada, 4) as valor_parcela_informada, "
+    "round(valor_pago_informado, 4) as valor_pago_informado, atraso_dias_informado, "
     "dq_parcela_sem_registro_pagamento"
 )
 
@@ -263,14 +263,14 @@ OVER_TABLES = {
     "latest_payments": "select * from latest_payments",
     "stg_customers": "select * from stg_customers",
     "stg_loans": """
-        select * exclude (juros_mensal) replace (round(pmt_teorica, 6) as pmt_teorica,
-            round(valor_contratado, 6) as valor_contratado, round(taxa_juros_anual, 6) as taxa_juros_anual,
-            round(taxa_anual_decimal, 6) as taxa_anual_decimal)
+        select * exclude (juros_mensal) replace (round(pmt_teorica, 4) as pmt_teorica,
+            round(valor_contratado, 4) as valor_contratado, round(taxa_juros_anual, 4) as taxa_juros_anual,
+            round(taxa_anual_decimal, 4) as taxa_anual_decimal)
         from stg_loans""",
     "stg_payments": "select * from stg_payments",
     "theoretical_pmt": """
-        select loan_id, round(valor_contratado, 6) as valor_contratado, prazo_meses,
-            round(taxa_anual_decimal, 6) as taxa_anual_decimal, round(pmt_teorica, 6) as pmt_teorica
+        select loan_id, round(valor_contratado, 4) as valor_contratado, prazo_meses,
+            round(taxa_anual_decimal, 4) as taxa_anual_decimal, round(pmt_teorica, 4) as pmt_teorica
         from stg_loans""",
     "installment_schedule": f"select {SCHEDULED}, numero_parcela, data_vencimento from schedule",
     "installment_payments": f"select {SCHEDULED}, numero_parcela, data_vencimento, {REPORTED} from installments",
@@ -299,10 +299,10 @@ OVER_TABLES = {
     "mart_credit_installments": f"""
         select loan_id, customer_id, numero_parcela, data_vencimento, data_pagamento, {INSTALLMENT_AMOUNTS},
             status_parcela, dpd_efetivo, data_corte, data_concessao,
-            round(valor_contratado, 6) as valor_contratado, prazo_meses,
-            round(taxa_juros_anual, 6) as taxa_juros_anual, canal, status_reportado,
-            round(pmt_teorica, 6) as pmt_teorica, nome, data_nascimento,
-            round(renda_mensal, 6) as renda_mensal, round(score_interno, 6) as score_interno, estado,
+            round(valor_contratado, 4) as valor_contratado, prazo_meses,
+            round(taxa_juros_anual, 4) as taxa_juros_anual, canal, status_reportado,
+            round(pmt_teorica, 4) as pmt_teorica, nome, data_nascimento,
+            round(renda_mensal, 4) as renda_mensal, round(score_interno, 4) as score_interno, estado,
             data_cadastro, dq_parcela_sem_registro_pagamento
         from installment_mart""",
     "mart_credit_loans": f"select {LOAN_MART}, qtd_contratos_cliente, cliente_recorrente from loan_mart",
