@@ -56,17 +56,19 @@ def int_installments(loans: DataFrame, payments: DataFrame, snapshot: Snapshot)
     )
 
 
-def mart_credit_installments(
-    loans: DataFrame, payments: DataFrame, customers: DataFrame, snapshot: Snapshot
-) -> DataFrame:
-    """Installments with the attributes of their loan and customer.
+def described_loans(loans: DataFrame, customers: DataFrame) -> DataFrame:
+    """Loans with the attributes the installment table shows, their customer's included."""
+    per_loan = loans.select("loan_id", "customer_id", *INSTALLMENT_LOAN_COLUMNS)
+    return lookup(per_loan, customers.select("customer_id", *CUSTOMER_COLUMNS), "customer_id")
+
+
+def installments_of_described(described: DataFrame, payments: DataFrame, snapshot: Snapshot) -> DataFrame:
+    """The installment table from described loans.
 
-    Customer attributes are looked up per loan and travel with it into the
-    match, so the installments, an order of magnitude more rows, are never
-    shuffled for them. An installment without a loan key finds no loan.
+    The attributes travel with the loan into the match, so the installments, an
+    order of magnitude more rows, are never shuffled for them. An installment
+    without a loan key finds no loan.
     """
-    per_loan = loans.select("loan_id", "customer_id", *INSTALLMENT_LOAN_COLUMNS)
-    described = lookup(per_loan, customers.select("customer_id", *CUSTOMER_COLUMNS), "customer_id")
     known = F.col("loan_id").isNotNull()
     rows = schedule.installments(described, payments, snapshot.cut)
     return rows.select(
@@ -77,6 +79,13 @@ def mart_credit_installments(
     )
 
 
+def mart_credit_installments(
+    loans: DataFrame, payments: DataFrame, customers: DataFrame, snapshot: Snapshot
+) -> DataFrame:
+    """Installments with the attributes of their loan and customer."""
+    return installments_of_described(described_loans(loans, customers), payments, snapshot)
+
+
 def int_loan_performance(loans: DataFrame, installments: DataFrame, snapshot: Snapshot) -> DataFrame:
     return performance.loan_performance(loans, installments, snapshot.cut)
 
