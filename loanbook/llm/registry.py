@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loanbook.llm.mixing import OP6_SQL, op6_mixing
 from loanbook.llm.packing import op9_packing
 from loanbook.llm.quality_forest import op8_quality_forest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in [
+        op6_mixing,
         op8_quality_forest,
         op9_packing,
     ]
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op6_mixing": OP6_SQL}
