@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from loanbook.llm.mixing import OP6_SQL, op6_mixing
 from loanbook.llm.packing import op9_packing
 from loanbook.llm.quality_forest import op8_quality_forest
+from loanbook.llm.secrets import op1_secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in [
+        op1_secret_scan,
         op6_mixing,
         op8_quality_forest,
         op9_packing,
