@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loanbook.llm.language_ppm import op2_language_ppm
 from loanbook.llm.minmax_dedup import op3_minmax_dedup
 from loanbook.llm.mixing import OP6_SQL, op6_mixing
 from loanbook.llm.packing import op9_packing
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in [
         op1_secret_scan,
+        op2_language_ppm,
         op3_minmax_dedup,
         op6_mixing,
         op8_quality_forest,
