@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loanbook.llm.cross_polytope import op4_cross_polytope
 from loanbook.llm.language_ppm import op2_language_ppm
 from loanbook.llm.minmax_dedup import op3_minmax_dedup
 from loanbook.llm.mixing import OP6_SQL, op6_mixing
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_secret_scan,
         op2_language_ppm,
         op3_minmax_dedup,
+        op4_cross_polytope,
         op6_mixing,
         op8_quality_forest,
         op9_packing,
