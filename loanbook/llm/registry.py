@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loanbook.llm.cross_polytope import op4_cross_polytope
 from loanbook.llm.language_ppm import op2_language_ppm
+from loanbook.llm.line_templates import op5_line_templates
 from loanbook.llm.minmax_dedup import op3_minmax_dedup
 from loanbook.llm.mixing import OP6_SQL, op6_mixing
 from loanbook.llm.packing import op9_packing
 from loanbook.llm.quality_forest import op8_quality_forest
 from loanbook.llm.secrets import op1_secret_scan
+from loanbook.llm.token_scan import op7_token_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
@@ -21,7 +23,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_language_ppm,
         op3_minmax_dedup,
         op4_cross_polytope,
+        op5_line_templates,
         op6_mixing,
+        op7_token_scan,
         op8_quality_forest,
         op9_packing,
     ]
