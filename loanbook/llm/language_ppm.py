@@ -175,22 +175,27 @@ def labelled_sample(docs: DataFrame, languages_from: str = "lang") -> list[tuple
     return [(row.language, bytes(row.text)) for row in chosen.collect()]
 
 
+def told(trees: Trees | None, texts: list[bytes | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, score and bits per byte of each text."""
+    names = [UNDETERMINED] * len(texts)
+    scores, rates = np.zeros(len(texts)), np.full(len(texts), np.nan)
+    known = [i for i, text in enumerate(texts) if trees and text and _LETTER.search(text.decode())]
+    if known:
+        bits = trees.bits([texts[i] for i in known])
+        least = bits.min(1, keepdims=True)
+        scores[known] = 1 / np.exp2(np.maximum(least - bits, -1000)).sum(1)
+        rates[known] = least[:, 0] / [len(texts[i]) for i in known]
+        for i, column in zip(known, bits.argmin(1), strict=True):
+            names[i] = trees.languages[column]
+    return names, scores, rates
+
+
 def predict(docs: DataFrame, trees: Trees | None) -> DataFrame:
     """``doc_id``, ``lang_pred``, ``score`` and ``bits_per_byte`` of each document."""
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in text_slices(batches):
-            names = [UNDETERMINED] * len(texts)
-            scores, rates = np.zeros(len(texts)), np.full(len(texts), np.nan)
-            told = [i for i, text in enumerate(texts) if trees and text and _LETTER.search(text.decode())]
-            if told:
-                bits = trees.bits([texts[i] for i in told])
-                best = bits.argmin(1)
-                least = bits.min(1, keepdims=True)
-                scores[told] = 1 / np.exp2(np.maximum(least - bits, -1000)).sum(1)
-                rates[told] = least[:, 0] / [len(texts[i]) for i in told]
-                for i, column in zip(told, best, strict=True):
-                    names[i] = trees.languages[column]
+            names, scores, rates = told(trees, texts)
             columns = [pa.array(names), pa.array(scores), pa.array(rates, from_pandas=True)]
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0), *columns], names=["doc_id", "lang_pred", "score", "bits_per_byte"]
@@ -204,6 +209,23 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs, learn(labelled_sample(docs)))
 
 
+#: Documents whose best language has less of the probability are rejected.
+LEAST_SCORE = 0.5
+
+
+def accepted(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
+    """The documents, as they are, whose language is determined well enough."""
+    trees = learn(labelled_sample(docs))
+
+    def choose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, texts in text_slices(batches):
+            names, scores, _ = told(trees, texts)
+            kept = (np.array(names, dtype=object) != UNDETERMINED) & (scores >= least_score)
+            yield rows.filter(pa.array(kept))
+
+    return docs.withColumn("text", F.col("text").cast("string")).mapInArrow(choose, docs.schema)
+
+
 def op2_language_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = identify(documents(spark, sf_dir))
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "bits_per_byte")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from loanbook.llm.cross_polytope import op4_cross_polytope
 from loanbook.llm.language_ppm import op2_language_ppm
 from loanbook.llm.line_templates import op5_line_templates
+from loanbook.llm.masked_lm import op10_masked_lm
 from loanbook.llm.minmax_dedup import op3_minmax_dedup
 from loanbook.llm.mixing import OP6_SQL, op6_mixing
 from loanbook.llm.packing import op9_packing
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_token_scan,
         op8_quality_forest,
         op9_packing,
+        op10_masked_lm,
     ]
 }
 
