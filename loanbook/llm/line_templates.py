@@ -42,7 +42,9 @@ FAMILY_SHARE = 0.15
 SIMILAR = 0.7
 VARIABLE = "<*>"
 
-_SPACE = r"[ \t\x0B\f\r]+"
+_SPACE = r"[ \t\x0B\f\r]{2,}|[\t\x0B\f\r]"
+#: A token with a digit, matched from its start on and without backtracking.
+_DIGITS = r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+"
 
 
 def line_parts(text: Column) -> Column:
@@ -51,7 +53,7 @@ def line_parts(text: Column) -> Column:
 
 def masked(line: Column) -> Column:
     """A line with single spaces, and a mark for each token that holds a digit."""
-    return F.regexp_replace(F.trim(F.regexp_replace(line, _SPACE, " ")), r"[^ ]*[0-9][^ ]*", VARIABLE)
+    return F.regexp_replace(F.trim(F.regexp_replace(line, _SPACE, " ")), _DIGITS, VARIABLE)
 
 
 def family(text: Column) -> Column:
