@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from loanbook import contract as c
+from loanbook.catalog.fixed import AWKWARD_NAME, KEYS, REFRESHED
 from loanbook.catalog.oracle import check
 
 CUSTOMER_TYPES = {
@@ -95,14 +96,31 @@ def _all(parts: list[str]) -> str:
     return " union all ".join(parts)
 
 
-def _columns(names) -> str:
-    return ", ".join(names)
-
-
 def _daily(day: str) -> str:
     return f"select {KPI_ROUNDED} from ({check('select * from daily_kpis', day)})"
 
 
+def _refreshed(table: str, dated: str, key: str, value: str, digits: int, day: str) -> str:
+    rows = check(f"select * from {TABLE_OF[table]}", day)
+    return (
+        f"select '{table}' as tabela, {dated} as dia, cast({key} as varchar) as chave, count(*) as linhas, "
+        f"round(sum({value}), {digits}) as valor from ({rows}) group by all"
+    )
+
+
+def _shown(direction: str) -> str:
+    parts = []
+    for table, types in CLEANED_TYPES.items():
+        key = KEYS[table][0]
+        some = f"(select * from stg_{table} order by {key} {direction} nulls last limit 5)"
+        for column, kind in types.items():
+            text = f"cast({column} as decimal(20, 4))" if kind == "double" else column
+            parts.append(
+                f"select '{table}' as tabela, {key} as chave, '{column}' as coluna, cast({text} as varchar) as valor from {some}"
+            )
+    return _all(parts)
+
+
 def _kpi(name: str) -> str:
     return f"select {KPI_ROUNDED} from daily_kpis where kpi_nome = '{name}'"
 
@@ -195,14 +213,19 @@ def _frequencies(columns: list[tuple[str, str]]) -> str:
     )
 
 
-PAYMENT_ROWS = (
-    "data_ingestao, payment_id, loan_id, data_vencimento, data_pagamento, "
-    "round(valor_parcela, 4) as valor_parcela, round(valor_pago, 4) as valor_pago, atraso_dias"
-)
 INSTALLMENT_AMOUNTS = (
     "round(valor_devido, 4) as valor_devido, round(valor_pago, 4) as valor_pago, "
     "round(valor_em_aberto, 4) as valor_em_aberto"
 )
+INSTALLMENT_MART = f"""
+        select loan_id, customer_id, numero_parcela, data_vencimento, data_pagamento, {INSTALLMENT_AMOUNTS},
+            status_parcela, dpd_efetivo, data_corte, data_concessao,
+            round(valor_contratado, 4) as valor_contratado, prazo_meses,
+            round(taxa_juros_anual, 4) as taxa_juros_anual, canal, status_reportado,
+            round(pmt_teorica, 4) as pmt_teorica, nome, data_nascimento,
+            round(renda_mensal, 4) as renda_mensal, round(score_interno, 4) as score_interno, estado,
+            data_cadastro, dq_parcela_sem_registro_pagamento
+        from installment_mart"""
 REPORTED = (
     "data_pagamento, round(valor_parcela_informada, 4) as valor_parcela_informada, "
     "round(valor_pago_informado, 4) as valor_pago_informado, atraso_dias_informado, "
@@ -210,7 +233,13 @@ REPORTED = (
 )
 
 OVER_TABLES = {
-    "csv_text_source": f"select {_columns(c.RAW_COLUMNS['loans'])} from raw_loans",
+    "csv_text_source": _all(
+        [
+            f"select '{table}' as tabela, {names[0]} as chave, "
+            f"concat_ws('|', {', '.join(f"coalesce({name}, '')" for name in names)}) as campos from raw_{table}"
+            for table, names in c.RAW_COLUMNS.items()
+        ]
+    ),
     "csv_typed_source": """
         select nullif(loan_id, '') as loan_id, nullif(customer_id, '') as customer_id,
             try_cast(trim(data_concessao) as date) as data_concessao,
@@ -226,7 +255,7 @@ OVER_TABLES = {
             for table in c.RAW_COLUMNS
         ]
     ),
-    "export_readback": f"select {LOAN_MART}, qtd_contratos_cliente, cliente_recorrente from loan_mart",
+    "export_readback": f"select * replace ({AWKWARD_NAME} as nome) from ({INSTALLMENT_MART})",
     "normalize_text": "select "
     + ", ".join(f"trim({name}) as {name}" for name in c.RAW_COLUMNS["loans"])
     + " from raw_loans",
@@ -296,15 +325,7 @@ OVER_TABLES = {
         select status_reportado, status_derivado, dq_status_divergente, count(*) as contratos
         from performance group by all""",
     "customer_contract_stats": "select * from recurrence",
-    "mart_credit_installments": f"""
-        select loan_id, customer_id, numero_parcela, data_vencimento, data_pagamento, {INSTALLMENT_AMOUNTS},
-            status_parcela, dpd_efetivo, data_corte, data_concessao,
-            round(valor_contratado, 4) as valor_contratado, prazo_meses,
-            round(taxa_juros_anual, 4) as taxa_juros_anual, canal, status_reportado,
-            round(pmt_teorica, 4) as pmt_teorica, nome, data_nascimento,
-            round(renda_mensal, 4) as renda_mensal, round(score_interno, 4) as score_interno, estado,
-            data_cadastro, dq_parcela_sem_registro_pagamento
-        from installment_mart""",
+    "mart_credit_installments": INSTALLMENT_MART,
     "mart_credit_loans": f"select {LOAN_MART}, qtd_contratos_cliente, cliente_recorrente from loan_mart",
     "mart_kpis_daily": f"select {KPI_ROUNDED} from daily_kpis",
     "kpi_default_rate": _kpi("taxa_inadimplencia_contratos"),
@@ -349,8 +370,8 @@ OVER_TABLES = {
         select loan_id, numero_parcela, data_vencimento, count(*) as linhas
         from installments group by all having count(*) > 1""",
     "profile_nonnull": _nonnull(),
-    "profile_head": f"select {PAYMENT_ROWS} from stg_payments order by payment_id limit 5",
-    "profile_tail": f"select {PAYMENT_ROWS} from stg_payments order by payment_id desc limit 5",
+    "profile_head": _shown("asc"),
+    "profile_tail": _shown("desc"),
     "profile_distinct": _distinct(
         [
             ("customers", "customer_id"),
@@ -391,4 +412,7 @@ OVER_TABLES = {
 def oracle_sql() -> dict[str, str]:
     queries = {name: check(query) for name, query in OVER_TABLES.items()}
     queries["incremental_upsert"] = _all([_daily("2000-03-31"), _daily("2000-06-30")])
+    queries["full_refresh"] = _all(
+        [_refreshed(*summed, day) for day in ("2000-03-31", "2000-06-30") for summed in REFRESHED[2 if day < "2000-06" else 0 :]]
+    )
     return queries

@@ -2,7 +2,8 @@
 
 Written for the checking database, from the table definitions rather than from
 the Spark plans: the schedule is a series join, payments meet it in an outer
-join, and the default curve spreads loans over the ages.
+join, and the default curve spreads loans over the ages. Literals such as ``1e0``
+are doubles; ``1.0`` would be a decimal and change the type of a result.
 """
 
 from __future__ import annotations
@@ -11,10 +12,10 @@ from loanbook import contract as c
 from loanbook.sources import driver_tables as d
 
 
-def _raw(source: str, expressions: dict[str, str], batches: list[str], extra: str = "true") -> str:
+def _raw(source: str, expressions: dict[str, str], batches: list[str]) -> str:
     columns = ", ".join(f"{text} as {name}" for name, text in expressions.items())
     seen = " or ".join(f"(b = {number} and {condition})" for number, condition in enumerate(batches))
-    return f"select {columns}, ingestion_date from {source}, batches where ({seen}) and ({extra})"
+    return f"select {columns}, ingestion_date from {source}, batches where ({seen})"
 
 
 def _latest(source: str, key: str, others: list[str]) -> str:
@@ -39,7 +40,7 @@ def definitions(day: str) -> dict[str, str]:
         + ", ".join(f"({number}, '{day}')" for number, day in enumerate(d.BATCH_DATES))
         + ") as t(b, day)",
         "raw_customers": _raw("customer", d.CUSTOMER_EXPRESSIONS, d.CUSTOMER_BATCHES),
-        "raw_loans": _raw("orders", d.LOAN_EXPRESSIONS, d.LOAN_BATCHES, d.LOAN_FILTER),
+        "raw_loans": _raw("orders", d.LOAN_EXPRESSIONS, d.LOAN_BATCHES),
         "raw_payments": _raw(
             "lineitem join orders on l_orderkey = o_orderkey", d.PAYMENT_EXPRESSIONS, d.PAYMENT_BATCHES
         ),

@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 
 from loanbook import Snapshot
 from loanbook import contract as c
+from loanbook.catalog.fixed import AWKWARD_NAME, KEYS, REFRESHED
 from loanbook.functions import casting
 from loanbook.functions.quality import customer_flags, loan_flags, payment_flags
 from loanbook.operators import checks, kpis, performance, profile, schedule, vintage
-from loanbook.plans import adhoc, gold, silver
+from loanbook.plans import adhoc, gold, run, silver
 from loanbook.sources import bronze, csv_files, driver_tables, tables
 from loanbook.sources.scratch import scratch_path
 
@@ -120,19 +121,23 @@ def rounded(rows: DataFrame, digits: int = 4, **by_column: int) -> DataFrame:
 
 def _as_csv(rows: DataFrame, name: str) -> str:
     path = scratch_path(rows.sparkSession, name)
-    (
-        rows.write.option("header", True)
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
+    csv_files.write_csv(rows, path)
     return path
 
 
 def csv_text_source(book: Book) -> DataFrame:
-    rows = book.raw["loans"].select(c.RAW_COLUMNS["loans"])
-    return csv_files.read_text_csv(book.spark, _as_csv(rows, "csv-text"))
+    """All three tables, each record with its table, key and fields."""
+    read = {
+        table: csv_files.read_text_csv(book.spark, _as_csv(book.raw[table].select(names), "csv-text"))
+        for table, names in c.RAW_COLUMNS.items()
+    }
+    parts = [
+        rows.select(
+            F.lit(table).alias("tabela"), F.col(rows.columns[0]).alias("chave"), F.concat_ws("|", *rows.columns).alias("campos")
+        )
+        for table, rows in read.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def csv_typed_source(book: Book) -> DataFrame:
@@ -180,12 +185,36 @@ def incremental_upsert(book: Book) -> DataFrame:
 
 
 def export_readback(book: Book) -> DataFrame:
-    mart = rounded(book.loan_mart, 4)
+    mart = rounded(book.installment_mart).withColumn("nome", F.expr(AWKWARD_NAME))
     path = scratch_path(book.spark, "export")
     tables.export_csv(mart, path)
     return csv_files.read_typed_csv(book.spark, path, dict(mart.dtypes))
 
 
+def full_refresh(book: Book) -> DataFrame:
+    """The stored run: raw tables ingested, two snapshots refreshed, the later
+    one twice, and its four result tables read back and summed up."""
+    lake = scratch_path(book.spark, "lake")
+    for table, rows in book.raw.items():
+        for day in driver_tables.BATCH_DATES:
+            batch = rows.where(F.col("ingestion_date") == F.lit(day).cast("date"))
+            bronze.write_bronze(batch, f"{lake}/bronze", table, day)
+    for snapshot in (EARLIER, SNAPSHOT, SNAPSHOT):
+        run.refresh(book.spark, lake, snapshot)
+    stored = {name: tables.read_table(book.spark, f"{lake}/gold/{name}") for name in run.EXPORTED}
+    counted = [
+        stored[name].groupBy(
+            F.lit(name).alias("tabela"),
+            F.col(day).alias("dia"),
+            F.col(key).cast("string").alias("chave"),
+        ).agg(F.count(F.lit(1)).alias("linhas"), F.round(F.sum(value), digits).alias("valor"))
+        for name, day, key, value, digits in REFRESHED
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
+
+
 # --- cleaning ----------------------------------------------------------------
 
 
@@ -373,7 +402,6 @@ DISTINCT_COLUMNS = [
     ("payments", "loan_id"),
 ]
 COUNTED = [("customers", "estado"), ("loans", "canal"), ("loans", "status_reportado")]
-KEYS = {"customers": ["customer_id"], "loans": ["loan_id"], "payments": ["payment_id"]}
 
 
 def profile_nonnull(book: Book) -> DataFrame:
@@ -393,12 +421,29 @@ def profile_describe(book: Book) -> DataFrame:
     return rounded(profile.labelled(described), 4)
 
 
+def _shown(book: Book, rows_of: Callable[[DataFrame, list[str]], DataFrame]) -> DataFrame:
+    """Some rows of each cleaned table, one row per field, amounts to a hundredth
+    of a cent."""
+    parts = []
+    for name, rows in _cleaned(book).items():
+        shown = rows_of(rows, KEYS[name])
+        texts = {
+            column: F.col(column).cast("decimal(20,4)" if kind == "double" else "string").cast("string")
+            for column, kind in shown.dtypes
+        }
+        fields = [F.struct(F.lit(column).alias("coluna"), text.alias("valor")) for column, text in texts.items()]
+        parts.append(
+            shown.select(F.lit(name).alias("tabela"), F.col(KEYS[name][0]).alias("chave"), F.inline(F.array(*fields)))
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def profile_head(book: Book) -> DataFrame:
-    return rounded(profile.head(_cleaned(book)["payments"], KEYS["payments"]))
+    return _shown(book, profile.head)
 
 
 def profile_tail(book: Book) -> DataFrame:
-    return rounded(profile.tail(_cleaned(book)["payments"], KEYS["payments"]))
+    return _shown(book, profile.tail)
 
 
 def profile_distinct(book: Book) -> DataFrame:
@@ -430,6 +475,7 @@ QUERIES: dict[str, Callable[[Book], DataFrame]] = {
     "bronze_partition_counts": bronze_partition_counts,
     "incremental_upsert": incremental_upsert,
     "export_readback": export_readback,
+    "full_refresh": full_refresh,
     "normalize_text": normalize_text,
     "normalize_case": normalize_case,
     "safe_cast_date": lambda book: _cast_audit(book, DATE_TEXTS, casting.safe_date),
@@ -475,7 +521,7 @@ QUERIES: dict[str, Callable[[Book], DataFrame]] = {
     "par_ratios": lambda book: rounded(adhoc.par_ratios(book.performance), 9),
     "origination_vintage": lambda book: rounded(adhoc.origination_vintage(book.performance), 9),
     "recurring_customer_share": lambda book: rounded(
-        adhoc.recurring_customer_share(performance.with_recurrence(book.loans)), 9
+        adhoc.recurring_customer_share(book.loan_mart), 9
     ),
     "dq_customers": lambda book: checks.count_flags(book.customers, list(customer_flags())),
     "dq_loans": lambda book: checks.count_flags(book.loans, list(loan_flags())),

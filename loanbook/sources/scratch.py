@@ -11,11 +11,16 @@ from pyspark.sql import SparkSession
 def scratch_root(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where the setting is missing, as in a local test session, a temporary
-    folder of this machine stands in for it.
+    Where the setting is missing, a temporary folder of this machine stands in
+    for it in a local session. Elsewhere executors would not share such a
+    folder, so a missing setting is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    return root.rstrip("/") if root else tempfile.mkdtemp(prefix="loanbook-")
+    if root:
+        return root.rstrip("/")
+    if spark.sparkContext.master.split("[")[0] == "local":
+        return tempfile.mkdtemp(prefix="loanbook-")
+    raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

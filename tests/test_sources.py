@@ -47,6 +47,49 @@ def test_quoted_line_breaks_are_found_and_kept(spark, tmp_path):
     assert [tuple(row) for row in rows] == [("1", "two\nlines"), ("2", 'say "hi"')]
 
 
+def test_awkward_values_survive_export(spark, tmp_path):
+    values = ['a"b', " pad ", "x,y", '"quoted"', "two\nlines", "\ttab", "back\\slash", '\\"', "it's"]
+    rows = spark.createDataFrame(list(enumerate(values)), "n int, text string")
+    tables.export_csv(rows, str(tmp_path / "out"))
+    read = csv_files.read_typed_csv(spark, str(tmp_path / "out"), {"n": "int"})
+    assert sorted(tuple(row) for row in read.collect()) == list(enumerate(values))
+
+
+@pytest.mark.parametrize("line", ["3,4,5", "7,8,", '"1,2",3,"4"'])
+def test_too_many_fields_raise(spark, tmp_path, line):
+    path = put(tmp_path, "wide.csv", f"a,b\n1,2\n{line}\n9\n")
+    with pytest.raises(csv_files.TooManyFields, match="1 records"):
+        csv_files.read_text_csv(spark, path)
+
+
+def test_too_many_fields_raise_over_lines(spark, tmp_path):
+    path = put(tmp_path, "wide.csv", 'a,b\n1,"x\ny",3\n4,"p\nq"\n')
+    with pytest.raises(csv_files.TooManyFields, match="1 records"):
+        csv_files.read_text_csv(spark, path)
+
+
+def test_commas_in_quotes_are_no_fields(spark, tmp_path):
+    rows = csv_files.read_text_csv(spark, put(tmp_path, "ok.csv", 'a,b\n"1,2,3","x,""y"",z"\n4\n')).collect()
+    assert [tuple(row) for row in rows] == [("1,2,3", 'x,"y",z'), ("4", "")]
+
+
+def test_a_stray_quote_keeps_the_file_split(spark, tmp_path):
+    lines = "".join(f"{i},plain text of line {i}\n" for i in range(4000))
+    path = put(tmp_path, "stray.csv", 'a,b\n0,5" tape\n' + lines)
+    assert not csv_files.has_quoted_line_breaks(spark, path)
+    limits = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    before = {name: spark.conf.get(name) for name in limits}
+    for name in limits:
+        spark.conf.set(name, "16384")
+    try:
+        rows = csv_files.read_text_csv(spark, path)
+        assert rows.rdd.getNumPartitions() > 4
+        assert rows.count() == 4001 and rows.where("b = '5\" tape'").count() == 1
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_typed_csv(spark, tmp_path):
     types = {"data_concessao": "date", "prazo_meses": "int", "valor_contratado": "double"}
     rows = csv_files.read_typed_csv(spark, put(tmp_path, "loans.csv", LOANS), types).collect()
@@ -70,6 +113,70 @@ def test_bronze_rerun_replaces_its_day_only(spark, tmp_path):
     ]
 
 
+def test_bronze_rerun_without_rows_empties_its_day(spark, tmp_path):
+    base = str(tmp_path / "bronze")
+    rows = spark.createDataFrame([("a",)], "x string")
+    bronze.write_bronze(rows, base, "loans", "2024-01-01")
+    bronze.write_bronze(rows, base, "loans", "2024-01-02")
+    bronze.write_bronze(rows.where("x = 'none'"), base, "loans", "2024-01-01")
+    left = bronze.read_bronze(spark, base, "loans").collect()
+    assert [(row.x, str(row.ingestion_date)) for row in left] == [("a", "2024-01-02")]
+
+
+def failing(rows):
+    """The rows with a column value that cannot be computed."""
+    broken = F.when(F.col(rows.columns[-1]).isNotNull(), F.raise_error(F.lit("broken"))).cast("string")
+    return rows.withColumn(rows.columns[-1], broken)
+
+
+def test_a_failed_job_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "table")
+    rows = spark.createDataFrame([("a", "1"), ("b", "2")], "x string, y string")
+    tables.write_table(rows, path)
+    with pytest.raises(Exception, match="broken"):
+        tables.write_table(failing(rows), path)
+    assert sorted(tuple(row) for row in tables.read_table(spark, path).collect()) == [("a", "1"), ("b", "2")]
+    assert [entry.name for entry in tmp_path.iterdir()] == ["table"]
+
+
+def test_a_failed_upsert_leaves_every_snapshot(spark, tmp_path):
+    path = str(tmp_path / "kpis")
+    tables.upsert(kpi_rows(spark, "2024-01-01", {"a": 1.0, "b": 2.0}), path, c.DAILY_KEYS)
+    before = stored(tables.read_table(spark, path))
+    with pytest.raises(Exception, match="broken"):
+        tables.upsert(failing(kpi_rows(spark, "2024-01-01", {"a": 9.0})), path, c.DAILY_KEYS)
+    assert stored(tables.read_table(spark, path)) == before
+    assert [entry.name for entry in tmp_path.iterdir()] == ["kpis"]
+
+
+def test_a_failed_refresh_leaves_the_old_tables(spark, tmp_path, monkeypatch):
+    inputs, lake = tmp_path / "in", str(tmp_path / "lake")
+    inputs.mkdir()
+    for name, text in (("customers", CUSTOMERS), ("loans", LOANS), ("payments", PAYMENTS)):
+        put(inputs, f"{name}.csv", text)
+    run.run(spark, str(inputs), lake, str(tmp_path / "out"), Snapshot("2024-12-31", "2024-12-31"), "2024-01-01")
+    before = spark.read.parquet(f"{lake}/gold/mart_credit_loans").orderBy("loan_id").collect()
+    made = run.gold.mart_credit_loans
+    monkeypatch.setattr(run.gold, "mart_credit_loans", lambda rows: failing(made(rows)))
+    with pytest.raises(Exception, match="broken"):
+        run.refresh(spark, lake, Snapshot("2024-06-30", "2024-06-30"))
+    assert spark.read.parquet(f"{lake}/gold/mart_credit_loans").orderBy("loan_id").collect() == before
+
+
+def test_the_job_entry(spark, tmp_path):
+    from loanbook import __main__ as job
+
+    inputs = tmp_path / "in"
+    inputs.mkdir()
+    for name, text in (("customers", CUSTOMERS), ("loans", LOANS), ("payments", PAYMENTS)):
+        put(inputs, f"{name}.csv", text)
+    given = ["--input", str(inputs), "--lake", str(tmp_path / "lake"), "--output", str(tmp_path / "out")]
+    dates = ["--ingestion-date", "2024-01-01", "--data-referencia", "2024-12-31", "--data-corte", "2024-12-31"]
+    job.main([*given, *dates, "--fail-on-violation"])
+    found = {name: spark.read.csv(f"{tmp_path}/out/{name}", header=True).count() for name in run.EXPORTED}
+    assert set(found) == set(run.EXPORTED) and found["mart_credit_loans"] == 3
+
+
 def test_later_partitions_are_not_read(spark, tmp_path):
     from loanbook.plans import silver
 
