@@ -29,9 +29,9 @@ def components(links: DataFrame) -> DataFrame:
     while not links.isEmpty():
         both = links.union(links.select("b", "a"))
         parents = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component"))
-        parents = staged(parents, "parents")
         for _ in range(2):
-            parents = staged(_mapped(parents, "component", parents), "parents")
+            parents = _mapped(parents, "component", parents)
+        parents = staged(parents, "parents")
         labels = staged(_mapped(labels, "component", parents), "labels")
         joined = _mapped(_mapped(links, "a", parents), "b", parents)
         links = staged(joined.where("a <> b").distinct(), "links")

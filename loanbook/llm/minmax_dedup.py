@@ -6,12 +6,16 @@ permutations, four values, name buckets; documents that share one are
 candidates, and links are confirmed on the full shingle sets.
 
 Copies do not multiply the work: documents with equal sets form a class, and
-classes alone are compared. Nor do large groups of near copies: in rounds, the
-members of each bucket are compared with one leader, found links merge into
-components, and pairs within a component need no comparison any more. What is
-left, pairs in one bucket but different components, is compared in full, except
-where their distances from the first leader differ by more than a link allows:
-Jaccard distance is a metric, so no link is lost by that.
+classes alone are compared. Nor do large groups of near copies. A shingle that
+no other candidate has can be shared with none, so the number of those bounds
+what a document can share, and most pairs of far copies need no comparison. The
+member of a bucket with the fewest such shingles, the one most like what its
+group was copied from, leads it: others are compared with it, found links merge
+into components, and pairs within one need no comparison any more. Then all
+pairs that share a bucket, lie in different components and may reach the
+similarity are compared, so no link is lost. What two sets can share is bounded
+by what each lacks of their leader: missing shingles, hashed to bits, are missed
+by both together.
 
 Defined results: A-Z are lower-cased, words are separated by white space as in
 ``WORD``; a text with fewer words than a shingle is one shingle; a text without
@@ -35,8 +39,6 @@ from loanbook.llm.texts import documents, staged, text_slices, with_texts
 BANDS = 32
 #: Permutations in a band, two signature values each.
 PER_BAND = 2
-#: Leader rounds at most before the remaining pairs are compared directly.
-ROUNDS = 5
 REMEMBERED = 500_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -146,23 +148,72 @@ def _at(rows: DataFrame, suffix: str, *columns: str) -> DataFrame:
     return rows.select(*[F.col(c).alias(f"{c}_{suffix}") for c in columns])
 
 
-def shared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) with the numbers of shingles both have and either has."""
-    both = (
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with their sets, and how many shingles both have and either."""
+    joined = (
         pairs.join(_at(sets, "b", "doc_id", "shingles"), F.col("b") == F.col("doc_id_b"))
         .join(_at(sets, "a", "doc_id", "shingles"), F.col("a") == F.col("doc_id_a"))
         .withColumn("both", F.size(F.array_intersect("shingles_a", "shingles_b")))
     )
-    return both.select("a", "b", "both", (F.size("shingles_a") + F.size("shingles_b") - F.col("both")).alias("either"))
+    return joined.withColumn("either", F.size("shingles_a") + F.size("shingles_b") - F.col("both"))
 
 
 def _linked(percent: int) -> Column:
     return 100 * F.col("both") >= percent * F.col("either")
 
 
+def _enough(shared: Column, percent: int, a: str, b: str) -> Column:
+    """Whether two sets that share so many shingles at most may be linked."""
+    return (100 + percent) * shared >= percent * (F.col(f"{a}.size") + F.col(f"{b}.size"))
+
+
+def _may_link(percent: int, a: str, b: str) -> Column:
+    """Whether two sets may be linked, given their ``size`` and how many of
+    their shingles are not theirs alone, ``open``."""
+    return _enough(F.least(f"{a}.open", f"{b}.open"), percent, a, b)
+
+
+def _may_link_by_leader(percent: int, a: str, b: str) -> Column:
+    """The same for two sets compared with one leader: within it they share no
+    more than it keeps without the shingles that either lacks."""
+    lacking = sum(F.bit_count(F.col(f"{a}.lacks{i}").bitwiseOR(F.col(f"{b}.lacks{i}"))) for i in range(WORDS))
+    within = F.least(F.col(f"{a}.leader_size") - lacking, F.col(f"{a}.inside"), F.col(f"{b}.inside"))
+    return _enough(within + F.least(f"{a}.outside", f"{b}.outside"), percent, a, b)
+
+
+#: Shingles a set lacks of its leader are hashed to so many words of 64 bits.
+WORDS = 4
+
+
+def _bits(numbers: Column, word: int) -> Column:
+    """The numbers whose hash falls into a word, as its bits."""
+    one = F.lit(1).cast("long")
+    place = lambda x: F.pmod(x, F.lit(64 * WORDS))
+    here = F.filter(numbers, lambda x: F.floor(place(x) / 64) == word)
+    return F.aggregate(here, F.lit(0).cast("long"), lambda bits, x: bits.bitwiseOR(F.call_function("shiftleft", one, (place(x) % 64).cast("int"))))
+
+
+def profiles(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (leader a, member b) with what they share and what b lacks of a."""
+    lacking = F.array_except("shingles_a", "shingles_b")
+    return _with_sets(pairs, sets).select(
+        "a", "b", "both", "either", *[_bits(lacking, i).alias(f"lacks{i}") for i in range(WORDS)]
+    )
+
+
+def shareable(sets: DataFrame) -> DataFrame:
+    """``doc_id``, the ``size`` of its set, and how many of its shingles some
+    other set has too, ``open``."""
+    each = sets.select("doc_id", F.explode("shingles").alias("shingle"))
+    counted = each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"))
+    own = counted.where("n = 1").groupBy("doc_id").agg(F.count("*").alias("own"))
+    sizes = sets.select("doc_id", F.size("shingles").cast("long").alias("size")).join(own, "doc_id", "left")
+    return sizes.select("doc_id", "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("open"))
+
+
 def class_links(docs: DataFrame, buckets: DataFrame, size: int, percent: int) -> DataFrame | None:
-    """Components of classes as (node, component), from rows (key, doc_id,
-    n_shingles) of class representatives and their buckets."""
+    """Components of classes as (node, component), from rows (key, doc_id) of
+    class representatives and their buckets."""
     crowded = buckets.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
     members = staged(buckets.join(crowded.select("key"), "key"), "buckets")
     if members.isEmpty():
@@ -170,46 +221,45 @@ def class_links(docs: DataFrame, buckets: DataFrame, size: int, percent: int) ->
     wanted = members.select("doc_id").distinct()
     texts = with_texts(docs).join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     sets = staged(shingle_sets(texts, size), "shingles")
-
-    placed = members.withColumn("component", F.col("doc_id"))
-    links, first = None, None
-    for number in range(ROUNDS):
-        order = F.xxhash64("doc_id", F.lit(number))
-        leaders = placed.groupBy("key").agg(F.min(F.struct(order, "doc_id", "component")).alias("l"))
-        leaders = staged(
-            leaders.select("key", F.col("l.doc_id").alias("leader"), F.col("l.component").alias("leader_component")),
-            "leaders",
-        )
-        led = placed.join(leaders, "key").where("component <> leader_component")
-        pairs = led.select(F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b")).distinct()
-        found = staged(shared(pairs, sets), "compared")
-        if first is None:
-            # distance of every member from its bucket's first leader
-            far = found.select("a", "b", (1 - F.col("both") / F.col("either")).alias("distance"))
-            pair = (F.least("doc_id", "leader") == F.col("a")) & (F.greatest("doc_id", "leader") == F.col("b"))
-            first = staged(members.join(leaders, "key").join(far, pair, "left").select(
-                "key", "doc_id", "n_shingles", F.coalesce("distance", F.lit(0.0)).alias("distance")
-            ), "distances")
-        new = found.where(_linked(percent)).select("a", "b")
-        links = staged(new if links is None else links.union(new), "links")
-        labels = components(links)
-        placed = staged(with_component(first, labels), "placed")
-        # pairs of one bucket that lie in different components
-        by_component = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
-        open_pairs = by_component.groupBy("key").agg(
-            ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs")
-        )
-        left, rows = open_pairs.agg(F.sum("pairs"), F.count("*")).first()
-        if left <= 4 * rows:
-            break
-    a, b = (_at(placed, s, "key", "doc_id", "n_shingles", "distance", "component") for s in "ab")
-    near = F.abs(F.col("distance_a") - F.col("distance_b")) <= 1 - percent / 100 + 1e-9
-    sizes = 100 * F.least("n_shingles_a", "n_shingles_b") >= percent * F.greatest("n_shingles_a", "n_shingles_b")
-    apart = (F.col("component_a") != F.col("component_b")) & (F.col("doc_id_a") < F.col("doc_id_b"))
-    rest = a.join(b, (F.col("key_a") == F.col("key_b")) & apart & near & sizes)
-    rest = rest.select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
-    new = shared(rest, sets).where(_linked(percent)).select("a", "b")
-    return components(links.union(new))
+    # a set that shares too little of itself is linked with nothing
+    bounds = shareable(sets).where(100 * F.col("open") >= percent * F.col("size"))
+    members = staged(members.join(bounds, "doc_id"), "members")
+
+    alone = (1 - F.col("open") / F.col("size")).alias("alone")
+    first = F.min(F.struct(alone, "doc_id", "size", "open"))
+    leaders = staged(members.groupBy("key").agg(first.alias("lead")).select("key", "lead.*"), "leaders")
+    m, lead = members.alias("m"), leaders.alias("lead")
+    led = (F.col("m.key") == F.col("lead.key")) & (F.col("m.doc_id") != F.col("lead.doc_id"))
+    met = m.join(lead, led & _may_link(percent, "m", "lead"))
+    pairs = met.select(F.col("lead.doc_id").alias("a"), F.col("m.doc_id").alias("b")).distinct()
+    compared = staged(profiles(staged(pairs, "pairs"), sets), "compared")
+    links = staged(compared.where(_linked(percent)).select("a", "b"), "links")
+    placed = with_component(_profiled(members, leaders, compared), components(links))
+    placed = staged(placed, "placed")
+    a, b = placed.alias("a"), placed.alias("b")
+    apart = (F.col("a.component") != F.col("b.component")) & (F.col("a.doc_id") < F.col("b.doc_id"))
+    possible = _may_link(percent, "a", "b") & _may_link_by_leader(percent, "a", "b")
+    rest = a.join(b, (F.col("a.key") == F.col("b.key")) & apart & possible)
+    pairs = staged(rest.select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b")).distinct(), "pairs")
+    more = _with_sets(pairs, sets).where(_linked(percent)).select("a", "b")
+    return components(links.union(more))
+
+
+def _profiled(members: DataFrame, leaders: DataFrame, compared: DataFrame) -> DataFrame:
+    """Members with their bucket's leader's size, how much of that leader
+    they hold, at most, and how many open shingles besides, at most."""
+    lead = leaders.select("key", F.col("doc_id").alias("leader"), F.col("size").alias("leader_size"))
+    told = compared.drop("either").withColumnsRenamed({"a": "leader", "b": "doc_id"})
+    rows = members.join(lead, "key").join(told, ["leader", "doc_id"], "left")
+    known, own = F.col("both").isNotNull(), F.col("doc_id") == F.col("leader")
+    inside = F.when(own, F.col("size")).when(known, F.col("both").cast("long")).otherwise(F.col("open"))
+    # those a set has alone lie outside the leader: open ones besides are the rest
+    outside = F.when(own, 0).when(known, F.col("open") - F.col("both")).otherwise(F.col("open"))
+    return rows.select(
+        "key", "doc_id", "size", "open", "leader_size", inside.alias("inside"),
+        outside.cast("long").alias("outside"),
+        *[F.coalesce(f"lacks{i}", F.lit(0).cast("long")).alias(f"lacks{i}") for i in range(WORDS)],
+    )
 
 
 def with_component(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -227,7 +277,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     members = signed.where("doc_id is not null and set_name is not null")
     classes = staged(members.groupBy("set_name").agg(F.min("doc_id").alias("doc_id")), "classes")
     representatives = signed.join(classes.select("doc_id", "set_name"), ["doc_id", "set_name"], "left_semi")
-    buckets = representatives.select("doc_id", "n_shingles", F.explode("bands").alias("key")).distinct()
+    buckets = representatives.select("doc_id", F.explode("bands").alias("key")).distinct()
     labels = class_links(docs, buckets, size, percent)
     named = classes if labels is None else with_component(classes, labels)
     component = F.col("doc_id") if labels is None else F.col("component")
