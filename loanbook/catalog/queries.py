@@ -49,13 +49,20 @@ class Book:
     def payments(self) -> DataFrame:
         return silver.stg_payments(self.raw["payments"], self.snapshot)
 
+    @cached_property
+    def cleaned(self) -> dict[str, DataFrame]:
+        """The cleaned tables, stored: several tables build on each of them, and
+        the latest row of a key is looked for once only."""
+        made = {"customers": self.customers, "loans": self.loans, "payments": self.payments}
+        return {name: tables.staged(rows, name) for name, rows in made.items()}
+
     @cached_property
     def installments(self) -> DataFrame:
-        return gold.int_installments(self.loans, self.payments, self.snapshot)
+        return gold.int_installments(self.cleaned["loans"], self.cleaned["payments"], self.snapshot)
 
     @cached_property
     def performance(self) -> DataFrame:
-        return gold.int_loan_performance(self.loans, self.installments, self.snapshot)
+        return gold.int_loan_performance(self.cleaned["loans"], self.installments, self.snapshot)
 
     @cached_property
     def loan_mart(self) -> DataFrame:
@@ -63,15 +70,18 @@ class Book:
 
     @cached_property
     def installment_mart(self) -> DataFrame:
-        return gold.mart_credit_installments(self.loans, self.payments, self.customers, self.snapshot)
+        cleaned = self.cleaned
+        return gold.mart_credit_installments(
+            cleaned["loans"], cleaned["payments"], cleaned["customers"], self.snapshot
+        )
 
     @cached_property
     def daily_kpis(self) -> DataFrame:
-        return gold.portfolio_kpis(self.loans, self.installments, self.snapshot)
+        return gold.portfolio_kpis(self.cleaned["loans"], self.installments, self.snapshot)
 
     @cached_property
     def vintage_kpis(self) -> DataFrame:
-        return gold.mart_kpis_vintage(self.loans, self.installments, self.snapshot)
+        return gold.mart_kpis_vintage(self.cleaned["loans"], self.installments, self.snapshot)
 
 
 class StoredBook(Book):
@@ -93,6 +103,10 @@ class StoredBook(Book):
     def payments(self) -> DataFrame:
         return self._stored("payments")
 
+    @cached_property
+    def cleaned(self) -> dict[str, DataFrame]:
+        return {"customers": self.customers, "loans": self.loans, "payments": self.payments}
+
     @cached_property
     def installments(self) -> DataFrame:
         return self._stored("installments")
