@@ -147,16 +147,21 @@ def _left(rows: DataFrame, sources: DataFrame) -> DataFrame:
     return rows.join(named, F.col("_source").eqNullSafe(F.col("_name")), "left").drop("_name")
 
 
-def taken_by(keyed: DataFrame, cuts: DataFrame) -> DataFrame:
-    """The rows with ``size``, ``source_size``, ``target``, and ``copies`` and
-    ``taken``, how often and with how many words the mix takes each."""
+def _with_copies(keyed: DataFrame, cuts: DataFrame) -> DataFrame:
+    """The rows with ``_copies``, how often the mix takes each."""
     decided = _joined(keyed, cuts)
     inside = F.coalesce(F.struct("_key", "_id", "_size") <= F.col("_cut"), F.lit(False))
     more = (F.col("_size") > 0) & ((_bin() < F.col("_cut_bin")) | ((_bin() == F.col("_cut_bin")) & inside))
-    copies = F.col("_epochs") + F.when(more, 1).otherwise(0)
-    return decided.withColumns(
-        {"size": F.col("_size"), "copies": copies, "taken": (copies * F.col("_size")).cast("long")}
-    )
+    return decided.withColumn("_copies", F.col("_epochs") + F.when(more, 1).otherwise(0))
+
+
+def taken_by(keyed: DataFrame, cuts: DataFrame) -> DataFrame:
+    """The rows with ``size``, ``source_size``, ``target``, and ``copies`` and
+    ``taken``, how often and with how many words the mix takes each; columns of
+    these names that the rows had give way."""
+    rows = keyed.drop("source_size", "target")
+    taken = (F.col("_copies") * F.col("_size")).cast("long")
+    return _with_copies(rows, cuts).withColumns({"size": F.col("_size"), "copies": F.col("_copies"), "taken": taken})
 
 
 def mixed(docs: DataFrame, seed: int = 1) -> DataFrame:
@@ -164,9 +169,9 @@ def mixed(docs: DataFrame, seed: int = 1) -> DataFrame:
     they came in."""
     keyed = with_keys(docs, seed)
     cuts = source_cuts(staged(keyed.select("_id", "_source", "_size", "_key"), "keys"))
-    rows = taken_by(keyed, cuts)
-    again = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
-    return rows.where("copies > 0").withColumn("_copy", again).select(*docs.columns)
+    rows = _with_copies(keyed, cuts.drop("source_size", "target")).where("_copies > 0")
+    again = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
+    return rows.withColumn("_copy", again).select(*docs.columns)
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
