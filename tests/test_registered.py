@@ -46,5 +46,12 @@ def test_every_order_is_a_loan(spark, checker):
     assert loans.count() == orders[1]
 
 
+@pytest.mark.parametrize("name", ["mart_credit_installments", "mart_credit_loans", "mart_kpis_daily", "mart_kpis_vintage"])
+def test_marts_look_for_latest_rows_once(spark, name):
+    """They read cleaned tables that were stored: no window picks rows again."""
+    plan = registered()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "row_number" not in plan
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() == 6
