@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loanbook.llm.texts import documents, text_slices, with_texts
+from loanbook.llm.texts import documents, text_slices, unit_hash, with_texts
 
 ORDER = 3
 SAMPLE_DOCUMENTS = 300
@@ -168,9 +168,13 @@ def labelled_sample(docs: DataFrame, languages_from: str = "lang") -> list[tuple
         .where(~held_out() & F.col(languages_from).isNotNull())
         .where(F.octet_length("text").between(1, SAMPLE_BYTES))
         .select(F.col(languages_from).cast("string").alias("language"), text.alias("text"))
-        .withColumn("order", F.xxhash64("text"))
+        .withColumn("draw", unit_hash("text"))
     )
-    ranked = known.withColumn("rank", F.row_number().over(Window.partitionBy("language").orderBy("order", "text")))
+    # a share of each language small enough, chosen where the rows stand; then the bound itself
+    counted = known.groupBy("language").agg(F.count("*").alias("n")).withColumnRenamed("language", "_name")
+    drawn = known.join(counted, F.col("language") == F.col("_name"))
+    drawn = drawn.where(F.col("draw") * F.col("n") < 1.5 * SAMPLE_DOCUMENTS).select("language", "text", "draw").distinct()
+    ranked = drawn.withColumn("rank", F.row_number().over(Window.partitionBy("language").orderBy("draw", "text")))
     chosen = ranked.where(F.col("rank") <= SAMPLE_DOCUMENTS).select("language", "text").orderBy("language", "text")
     return [(row.language, bytes(row.text)) for row in chosen.collect()]
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanbook.llm.texts import documents, staged, text_slices, with_texts
+from loanbook.llm.texts import documents, staged, text_slices, unit_hash, with_texts
 
 # Characters counted as symbols, white space between words.
 SYMBOLS = b"#*$%&|<>"
@@ -253,8 +253,11 @@ def judge(
         .agg(F.min("quality").alias("quality"))
     )
     known = statistics.where(~F.col("base_failed")).join(marks, "doc_id")
-    order = [F.xxhash64("doc_id", F.lit(seed)), *(F.col(c) for c in COUNTS)]
-    chosen = np.array(known.orderBy(*order).limit(fit_rows).select(*COUNTS, "quality").collect(), dtype=np.int64)
+    # a share of the rows small enough, chosen where they stand; then the bound itself
+    drawn = known.withColumn("draw", unit_hash("doc_id", *COUNTS, seed=seed))
+    share = 1.1 * fit_rows / max(1, known.count())
+    chosen = drawn.where(F.col("draw") < share).select("draw", *COUNTS, "quality").collect()
+    chosen = np.array(sorted(chosen)[:fit_rows], dtype=float).reshape(-1, len(COUNTS) + 2)[:, 1:].astype(np.int64)
     verdict = ~F.col("base_failed")
     if not len(chosen) or not (chosen[:, -1] == 1).any():
         return statistics.withColumns({"anomaly": F.lit(None).cast("double"), "kept": verdict})

@@ -6,12 +6,12 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanbook.sources.tables import staged
 
-__all__ = ["documents", "staged", "text_slices", "with_texts"]
+__all__ = ["documents", "staged", "text_slices", "unit_hash", "with_texts"]
 
 #: A task works on this many bytes of text at a time, or on one longer text.
 SLICE_BYTES = 4 << 20
@@ -21,6 +21,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def unit_hash(*columns: str | Column, seed: int = 0) -> Column:
+    """A number from 0 up to 1 that the columns' values alone decide."""
+    return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(1 << 32)) / F.lit(float(1 << 32))
+
+
 def with_texts(docs: DataFrame, *more: str) -> DataFrame:
     """``doc_id`` and ``text``, and further columns by name, whatever else the
     table holds."""
