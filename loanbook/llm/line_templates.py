@@ -52,13 +52,19 @@ def line_parts(text: Column) -> Column:
 
 
 def masked(line: Column) -> Column:
-    """A line with single spaces, and a mark for each token that holds a digit."""
-    return F.regexp_replace(F.trim(F.regexp_replace(line, _SPACE, " ")), _DIGITS, VARIABLE)
+    """A line with single spaces, and a mark for each token that holds a digit.
+    Most lines need neither, and plain searches find that out fast."""
+    spaced = F.contains(line, F.lit("  "))
+    for space in "\t\x0b\f\r":
+        spaced |= F.contains(line, F.lit(space))
+    single = F.when(spaced, F.regexp_replace(line, _SPACE, " ")).otherwise(line)
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(F.trim(single), _DIGITS, VARIABLE)).otherwise(F.trim(single))
 
 
 def family(text: Column) -> Column:
     """The smallest hash of a text's words."""
-    return F.array_min(F.transform(F.split(text, r"\s+"), lambda word: F.xxhash64(word)))
+    words = F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " ")
+    return F.array_min(F.transform(words, lambda word: F.xxhash64(word)))
 
 
 def _key(text: Column) -> Column:
@@ -70,13 +76,14 @@ def parsed_lines(docs: DataFrame) -> DataFrame:
     ``line`` itself (masked) and keys of text, family, line and leaf."""
     long_enough = rf"^(?:[^ ]+ ){{{LEAST_TOKENS - 1}}}[^ ]"
     lines = F.filter(F.transform(line_parts(F.col("text")), masked), lambda line: line.rlike(long_enough))
-    rows = docs.where(F.col("text").isNotNull()).select(
+    # all that is worked out once per text comes before the lines are spread out
+    texts = docs.where(F.col("text").isNotNull()).select(
         _key(F.col("text")).alias("text_key"),
         family(F.col("text")).alias("family"),
-        F.explode(F.array_distinct(lines)).alias("line"),
+        F.array_distinct(lines).alias("lines"),
     )
-    tokens = F.length("line") - F.length(F.translate("line", " ", "")) + 1
-    leaf = F.concat_ws(" ", tokens, F.substring_index("line", " ", LEADING))
+    rows = texts.select("text_key", "family", F.explode("lines").alias("line"))
+    leaf = F.concat_ws(" ", F.size(F.split("line", " ")), F.substring_index("line", " ", LEADING))
     return rows.withColumns({"line_key": _key(F.col("line")), "leaf_key": _key(leaf)})
 
 
@@ -89,10 +96,12 @@ def recurring(rows: DataFrame, key: str) -> DataFrame:
     return counted.where(enough).select(key)
 
 
-def generalised(docs: DataFrame, leaves: DataFrame, settled: DataFrame) -> DataFrame:
+def generalised(docs: DataFrame, parsed: DataFrame, leaves: DataFrame, settled: DataFrame) -> DataFrame:
     """Lines of the given leaves, but for those already settled, whose template
     with variable fields recurs: ``line_key``, one row each."""
-    rows = parsed_lines(docs).join(leaves, "leaf_key", "left_semi").join(settled, "line_key", "left_anti")
+    texts = parsed.join(leaves, "leaf_key", "left_semi").select(F.col("text_key").alias("_wanted")).distinct()
+    holding = docs.join(staged(texts, "texts"), _key(F.col("text")) == F.col("_wanted"), "left_semi")
+    rows = parsed_lines(holding).join(leaves, "leaf_key", "left_semi").join(settled, "line_key", "left_anti")
     rows = staged(rows.select("family", "line_key", "leaf_key", "line").dropDuplicates(["family", "line_key"]), "leaves")
     lines = rows.dropDuplicates(["line_key"]).select(
         "line_key", "leaf_key", F.posexplode(F.split("line", " ")).alias("place", "token")
@@ -119,12 +128,12 @@ def recurring_lines(docs: DataFrame, parsed: DataFrame) -> DataFrame:
     equal = staged(recurring(parsed, "line_key"), "recurring")
     open_lines = parsed.join(equal, "line_key", "left_anti")
     leaves = staged(recurring(open_lines, "leaf_key"), "crowded")
-    return equal.union(generalised(docs, leaves, equal))
+    return equal.union(generalised(docs, parsed, leaves, equal))
 
 
-def without_templates(docs: DataFrame) -> DataFrame:
+def _cleaned(docs: DataFrame) -> DataFrame:
     """The documents with the lines of recurring templates dropped from their
-    ``text``, and with ``n_lines`` and ``n_dropped``."""
+    ``text``, and with ``_n_lines`` and ``_n_dropped``."""
     typed = docs.withColumn("text", F.col("text").cast("string"))
     parsed = staged(parsed_lines(typed).drop("line"), "lines")
     drop = staged(recurring_lines(typed, parsed), "dropped")
@@ -141,13 +150,26 @@ def without_templates(docs: DataFrame) -> DataFrame:
     n_lines = F.coalesce(F.size(parts), F.lit(0))
     return rows.withColumns(
         {
-            "n_lines": F.when(F.col("text").isNull(), 0).otherwise(n_lines).cast("long"),
-            "n_dropped": F.when(changed, F.size(parts) - F.size("_left")).otherwise(0).cast("long"),
+            "_n_lines": F.when(F.col("text").isNull(), 0).otherwise(n_lines).cast("long"),
+            "_n_dropped": F.when(changed, F.size(parts) - F.size("_left")).otherwise(0).cast("long"),
             "text": F.when(changed, F.array_join("_left", "\n")).otherwise(F.col("text")),
         }
-    ).select(*docs.columns, "n_lines", "n_dropped")
+    ).select(*docs.columns, "_n_lines", "_n_dropped")
+
+
+def without_templates(docs: DataFrame) -> DataFrame:
+    """The documents without the lines of recurring templates, in the columns
+    they came in."""
+    return _cleaned(docs).select(*docs.columns)
+
+
+def with_dropped(docs: DataFrame) -> DataFrame:
+    """The same with ``n_lines`` and ``n_dropped``; columns of these names that
+    the documents had give way."""
+    rows = _cleaned(docs.drop("n_lines", "n_dropped"))
+    return rows.withColumnsRenamed({"_n_lines": "n_lines", "_n_dropped": "n_dropped"})
 
 
 def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    return without_templates(docs).select("doc_id", "n_lines", "n_dropped", "text")
+    return with_dropped(docs).select("doc_id", "n_lines", "n_dropped", "text")
