@@ -8,10 +8,14 @@ share a template, and templates that recur across documents are dropped from
 all of them.
 
 Whole copies of a document share every line without any of it being boilerplate;
-they are left to document dedup. So a template's documents are counted by
-family: documents whose smallest word hash is the same. Copies, exact or near,
-fall into one family nearly always, unrelated documents into many. A template
-recurs if it has enough families, and enough of them against its documents.
+they are left to document dedup. So it is unrelated documents that are counted.
+Equal texts count once. A line's text is described by ``SEEDS`` smallest hashes
+of the pieces (some words in a row) of its other lines, so that a line never
+tells where it belongs. Of the texts that share one of these hashes under a
+template the first leads, and a text that leads by most hashes is unrelated to
+all before it. Near copies agree in most hashes, so hardly more than one of them
+leads; further copies never take from the count. A template recurs if enough
+unrelated documents have it, however many documents there are.
 
 Only DataFrame functions are used. Lines are counted before they are shuffled,
 once per document, and all that joins back to the texts is a list of line keys
@@ -25,6 +29,8 @@ are treated alike; an empty table gives no rows. All other columns are kept.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,10 +40,14 @@ from loanbook.llm.texts import documents, staged
 LEAST_TOKENS = 5
 #: Leading tokens the tree branches on below the number of tokens.
 LEADING = 3
-#: Families that must share a template, or a token at its place in a leaf.
+#: Unrelated documents that must share a template, or a token at its place in a leaf.
 LEAST_FAMILIES = 3
-#: Families for each document of a recurring template, at least.
-FAMILY_SHARE = 0.15
+#: Hashes that describe a text, and how many of them an unrelated one leads by.
+SEEDS = 12
+LEAST_LED = 7
+#: Lines are cut after words that end so; shorter pieces tell nothing.
+_CUT = "(?<=[.!?;yr]) "
+PIECE_CHARS = 20
 #: Share of constant tokens that makes lines of a leaf similar.
 SIMILAR = 0.7
 VARIABLE = "<*>"
@@ -61,39 +71,67 @@ def masked(line: Column) -> Column:
     return F.when(line.rlike("[0-9]"), F.regexp_replace(F.trim(single), _DIGITS, VARIABLE)).otherwise(F.trim(single))
 
 
-def family(text: Column) -> Column:
-    """The smallest hash of a text's words."""
-    words = F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " ")
-    return F.array_min(F.transform(words, lambda word: F.xxhash64(word)))
+def pieces(line: Column) -> Column:
+    """Hashes of the long pieces of a line."""
+    long = F.filter(F.split(line, _CUT), lambda piece: F.length(piece) >= PIECE_CHARS)
+    return F.transform(long, lambda piece: F.xxhash64(piece))
 
 
 def _key(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
+def _let(value: Column, result: Callable[[Column], Column]) -> Column:
+    """A result of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), result), F.lit(0))
+
+
+def described(lines: Column) -> Column:
+    """Distinct lines with the smallest hashes, by ``SEEDS`` seeds, of all other
+    lines' pieces; a line without long pieces is one itself."""
+    seeds = F.array(*[F.lit(seed) for seed in range(SEEDS)])
+
+    def smallest(line: Column, hashes: Column) -> Column:
+        least = lambda seed: F.array_min(F.transform(hashes, lambda piece: F.hash(piece, seed)))
+        return F.transform(seeds, lambda seed: F.coalesce(least(seed), F.hash(line, seed)))
+
+    def others(lines: Column, least: Column) -> Column:
+        # the two smallest of the whole text: without a line, it is the one or the other
+        both = F.transform(seeds, lambda seed: F.slice(F.sort_array(F.transform(least, lambda own: F.get(own, seed))), 1, 2))
+        left = lambda own, two: F.get(two, F.when(own == F.get(two, F.lit(0)), 1).otherwise(0))
+        row = lambda both: lambda line, own: F.struct(line.alias("line"), F.zip_with(own, both, left).alias("hashes"))
+        return _let(both, lambda both: F.zip_with(lines, least, row(both)))
+
+    by_line = lambda lines: F.zip_with(lines, F.transform(lines, pieces), smallest)
+    return _let(lines, lambda lines: _let(by_line(lines), lambda least: others(lines, least)))
+
+
 def parsed_lines(docs: DataFrame) -> DataFrame:
     """The lines long enough to be templates, once per document and line: the
-    ``line`` itself (masked) and keys of text, family, line and leaf."""
+    ``line`` itself (masked), keys of text, line and leaf, and the ``hashes`` of
+    the text's other lines."""
     long_enough = rf"^(?:[^ ]+ ){{{LEAST_TOKENS - 1}}}[^ ]"
-    lines = F.filter(F.transform(line_parts(F.col("text")), masked), lambda line: line.rlike(long_enough))
+    lines = F.array_distinct(F.filter(F.transform(line_parts(F.col("text")), masked), lambda line: line != ""))
+    rows = F.filter(described(lines), lambda row: row["line"].rlike(long_enough))
     # all that is worked out once per text comes before the lines are spread out
-    texts = docs.where(F.col("text").isNotNull()).select(
-        _key(F.col("text")).alias("text_key"),
-        family(F.col("text")).alias("family"),
-        F.array_distinct(lines).alias("lines"),
-    )
-    rows = texts.select("text_key", "family", F.explode("lines").alias("line"))
+    texts = docs.where(F.col("text").isNotNull()).select(_key(F.col("text")).alias("text_key"), rows.alias("rows"))
+    rows = texts.select("text_key", F.explode("rows").alias("row")).select("text_key", "row.line", "row.hashes")
     leaf = F.concat_ws(" ", F.size(F.split("line", " ")), F.substring_index("line", " ", LEADING))
-    return rows.withColumns({"line_key": _key(F.col("line")), "leaf_key": _key(leaf)})
+    return rows.withColumns(
+        {"text_id": F.xxhash64("text_key"), "line_key": _key(F.col("line")), "leaf_key": _key(leaf)}
+    )
 
 
-def recurring(rows: DataFrame, key: str) -> DataFrame:
-    """Keys shared by enough families of documents, one row each. Rows are summed
-    by key and family before they are shuffled."""
-    by_family = rows.groupBy(key, "family").agg(F.count("*").alias("documents"))
-    counted = by_family.groupBy(key).agg(F.count("*").alias("families"), F.sum("documents").alias("documents"))
-    enough = (F.col("families") >= LEAST_FAMILIES) & (F.col("families") >= FAMILY_SHARE * F.col("documents"))
-    return counted.where(enough).select(key)
+def recurring(rows: DataFrame, *keys: str) -> DataFrame:
+    """Keys shared by enough unrelated documents, one row each. Rows are summed
+    before they are shuffled."""
+    texts = rows.select(*keys, "text_id").distinct().groupBy(*keys).agg(F.count("*").alias("texts"))
+    shared = staged(texts.where(F.col("texts") >= LEAST_FAMILIES).select(*keys), "shared")
+    hashes = rows.join(shared, list(keys), "left_semi").select(*keys, "text_id", F.posexplode("hashes").alias("seed", "hash"))
+    first = hashes.groupBy(*keys, "seed", "hash").agg(F.min("text_id").alias("leader"))
+    led = first.groupBy(*keys, "leader").agg(F.bit_or(F.expr("shiftleft(1, seed)")).alias("seeds"))
+    unrelated = led.where(F.bit_count("seeds") >= LEAST_LED).groupBy(*keys).agg(F.count("*").alias("documents"))
+    return unrelated.where(F.col("documents") >= LEAST_FAMILIES).select(*keys)
 
 
 def generalised(docs: DataFrame, parsed: DataFrame, leaves: DataFrame, settled: DataFrame) -> DataFrame:
@@ -102,13 +140,13 @@ def generalised(docs: DataFrame, parsed: DataFrame, leaves: DataFrame, settled:
     texts = parsed.join(leaves, "leaf_key", "left_semi").select(F.col("text_key").alias("_wanted")).distinct()
     holding = docs.join(staged(texts, "texts"), _key(F.col("text")) == F.col("_wanted"), "left_semi")
     rows = parsed_lines(holding).join(leaves, "leaf_key", "left_semi").join(settled, "line_key", "left_anti")
-    rows = staged(rows.select("family", "line_key", "leaf_key", "line").dropDuplicates(["family", "line_key"]), "leaves")
+    rows = rows.select("text_id", "hashes", "line_key", "leaf_key", "line").dropDuplicates(["text_id", "line_key"])
+    rows = staged(rows, "leaves")
     lines = rows.dropDuplicates(["line_key"]).select(
         "line_key", "leaf_key", F.posexplode(F.split("line", " ")).alias("place", "token")
     )
-    tokens = rows.select("family", "leaf_key", F.posexplode(F.split("line", " ")).alias("place", "token"))
-    families = tokens.distinct().groupBy("leaf_key", "place", "token").agg(F.count("*").alias("families"))
-    constant = families.where(F.col("families") >= LEAST_FAMILIES).select("leaf_key", "place", "token", F.lit(True).alias("constant"))
+    tokens = rows.select("text_id", "hashes", "leaf_key", F.posexplode(F.split("line", " ")).alias("place", "token"))
+    constant = recurring(tokens, "leaf_key", "place", "token").withColumn("constant", F.lit(True))
     told = lines.join(constant, ["leaf_key", "place", "token"], "left")
     field = F.when(F.col("constant"), F.col("token")).otherwise(VARIABLE)
     templates = told.groupBy("line_key", "leaf_key").agg(

@@ -127,6 +127,23 @@ def test_variable_fields_without_digits_are_generalised(spark):
     assert all(row.n_dropped == 1 and "dear reader" not in row.text for row in found)
 
 
+def test_lines_recur_however_many_documents_and_copies_there_are(spark):
+    """A Zipf vocabulary that all share, rising numbers of documents, and one
+    text copied a thousand times."""
+    rng = random.Random(8)
+    vocabulary = [f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(2_000)]
+    weights = [1 / (i + 1) for i in range(2_000)]
+    notice = "all rights reserved by the owner of this page"
+    for n, copies in ((10, 0), (100, 1_000), (1_500, 0)):
+        own = [[" ".join(rng.choices(vocabulary, weights, k=40)) for _ in range(6)] for _ in range(n)]
+        field = [f"dear reader of this {''.join(rng.choices('abcdefgh', k=12))} please write to the editor" for _ in range(n)]
+        texts = ["\n".join([*lines, notice, line]) for lines, line in zip(own, field)]
+        rows = list(enumerate([*texts, *texts[:1] * copies]))
+        found = line_templates.with_dropped(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert all(row.n_dropped == 2 and notice not in row.text and "dear" not in row.text for row in found)
+        assert all(row.text == "\n".join(own[row.doc_id if row.doc_id < n else 0]) for row in found)
+
+
 def test_line_templates_of_odd_tables(docs, empty):
     found = line_templates.with_dropped(docs)
     assert found.columns == [*docs.columns, "n_lines", "n_dropped"]
