@@ -9,8 +9,9 @@ in a language is a sum over its bytes of a number that only the bytes before
 them decide, and whole batches are scored by table look-ups. The language with
 the shortest code is predicted; the score is its share of the probability.
 
-Learned from a sample of labelled documents, at most ``SAMPLE_DOCUMENTS`` of
-each language and each at most ``SAMPLE_BYTES`` long, those of smallest hash.
+Learned from a sample of labelled documents, at most ``SAMPLE_DOCUMENTS``
+different texts of each language, those of smallest hash, and at most the first
+``SAMPLE_BYTES`` of each. Copies neither crowd others out nor count twice.
 Text is folded before: A-Z to lower case, digits to one digit.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0,
@@ -160,18 +161,19 @@ def held_out() -> Column:
 
 
 def labelled_sample(docs: DataFrame, languages_from: str = "lang") -> list[tuple[str, bytes]]:
-    """The labelled documents to learn from, at most a fixed number per language
-    and each of bounded length."""
-    text = F.col("text").cast("binary")
+    """The labelled documents to learn from, at most a fixed number of different
+    ones per language and a bounded piece of each."""
+    piece = F.substring(F.col("text").cast("binary"), 1, SAMPLE_BYTES)
     known = (
         with_texts(docs, languages_from)
         .where(~held_out() & F.col(languages_from).isNotNull())
-        .where(F.octet_length("text").between(1, SAMPLE_BYTES))
-        .select(F.col(languages_from).cast("string").alias("language"), text.alias("text"))
-        .withColumn("draw", unit_hash("text"))
+        .where(F.octet_length("text") >= 1)
+        .withColumns({"draw": unit_hash(F.col("text").cast("binary")), "same": F.xxhash64("text")})
+        .select(F.col(languages_from).cast("string").alias("language"), piece.alias("text"), "draw", "same")
     )
     # a share of each language small enough, chosen where the rows stand; then the bound itself
-    counted = known.groupBy("language").agg(F.count("*").alias("n")).withColumnRenamed("language", "_name")
+    different = known.select(F.col("language").alias("_name"), "same").distinct()
+    counted = different.groupBy("_name").agg(F.count("*").alias("n"))
     drawn = known.join(counted, F.col("language") == F.col("_name"))
     drawn = drawn.where(F.col("draw") * F.col("n") < 1.5 * SAMPLE_DOCUMENTS).select("language", "text", "draw").distinct()
     ranked = drawn.withColumn("rank", F.row_number().over(Window.partitionBy("language").orderBy("draw", "text")))

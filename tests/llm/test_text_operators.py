@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -144,6 +145,17 @@ def test_held_out_languages_are_told(spark):
     assert all(0.5 < row.score <= 1 for row in found)
 
 
+def test_copies_and_long_texts_take_no_language_from_the_sample(spark):
+    many = [f"wir lesen heute das Buch Nummer {chr(97 + i % 26)}{chr(97 + i // 26)} im Garten" for i in range(200)]
+    long = [f"the {i}th book is read in the garden today and " * 1_000 for i in range(8)]
+    rows = [(text, "de") for text in [*many, *["wir sind alle gleich"] * 6_000]] + [(text, "en") for text in long]
+    rows = [(i * 4, text, lang) for i, (text, lang) in enumerate(rows)]
+    learned = [row for row in rows if not held_out(row[0])]
+    sample = language_ppm.labelled_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert Counter(lang for lang, _ in sample) == Counter(lang for _, lang in {row[1:] for row in learned})
+    assert max(len(text) for _, text in sample) == language_ppm.SAMPLE_BYTES
+
+
 def test_language_of_odd_tables(docs, empty):
     found = language_ppm.identify(docs).collect()
     assert len(found) == docs.count()
