@@ -115,7 +115,9 @@ def parsed_lines(docs: DataFrame) -> DataFrame:
     rows = F.filter(described(lines), lambda row: row["line"].rlike(long_enough))
     # all that is worked out once per text comes before the lines are spread out
     texts = docs.where(F.col("text").isNotNull()).select(_key(F.col("text")).alias("text_key"), rows.alias("rows"))
-    rows = texts.select("text_key", F.explode("rows").alias("row")).select("text_key", "row.line", "row.hashes")
+    # a plain explode would work all of it out again in filters of its own
+    rows = texts.select("text_key", F.explode_outer("rows").alias("row")).where(F.col("row").isNotNull())
+    rows = rows.select("text_key", "row.line", "row.hashes")
     leaf = F.concat_ws(" ", F.size(F.split("line", " ")), F.substring_index("line", " ", LEADING))
     return rows.withColumns(
         {"text_id": F.xxhash64("text_key"), "line_key": _key(F.col("line")), "leaf_key": _key(leaf)}
