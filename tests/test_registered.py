@@ -1,6 +1,9 @@
 """Every registered query against its checking SQL on the smallest test tables."""
 
 import os
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -53,5 +56,23 @@ def test_marts_look_for_latest_rows_once(spark, name):
     assert "row_number" not in plan
 
 
+@pytest.mark.parametrize("left_out", [["loanbook/llm"], ["loanbook/llm", "corpus_pipeline.py"], ["corpus_pipeline.py"]])
+def test_queries_without_the_text_operators(tmp_path, left_out):
+    """A copy without them still has every query of the reference's operators."""
+    root = os.path.dirname(os.path.abspath(entry_points.__file__))
+    skip = lambda folder, names: [x for x in names if os.path.relpath(os.path.join(folder, x), root) in left_out]
+    shutil.copytree(f"{root}/loanbook", tmp_path / "loanbook", ignore=skip)
+    for name in {"__spark_entry__.py", "corpus_pipeline.py"} - set(left_out):
+        if os.path.exists(f"{root}/{name}"):
+            shutil.copy(f"{root}/{name}", tmp_path)
+    code = "import __spark_entry__ as e; print(*e.queries()); print(*e.oracle_sql())"
+    said = subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True)
+    names, checked = (set(line.split()) for line in said.stdout.splitlines()[-2:])
+    assert set(registered()) <= names and set(registered()) <= checked <= names
+    assert "pipeline" not in names
+    if "loanbook/llm" in left_out:
+        assert names == set(registered())
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() == 6
