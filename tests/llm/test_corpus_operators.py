@@ -309,5 +309,5 @@ def test_pipeline_keeps_one_of_each_group(spark, tmp_path):
 
 def test_every_operator_is_registered():
     names = [name for name in entry_points.queries() if name.startswith("op")]
-    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 11))
-    assert "pipeline" in entry_points.queries() and "op6_mixing" in entry_points.oracle_sql()
+    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 14))
+    assert "pipeline" in entry_points.queries() and {"op6_mixing", "op11_phrase_graph", "op12_template_markup", "op13_hard_negatives"} <= set(entry_points.oracle_sql())
