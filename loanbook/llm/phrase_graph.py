@@ -14,9 +14,11 @@ phrase belongs to. Candidates are scored by how much more often they occur than
 their parts, at their weakest cut, and fall away where a longer candidate makes
 up most of them.
 
-Each task counts its edges in sorted codes before they are shuffled, and a
-phrase crosses the network once for each task and level at most. All else works
-on solid phrases alone.
+Each task counts its edges in sorted codes before they are shuffled. They travel
+in sheaves, one row for all edges of a task that go to the same bucket, dealt by
+the phrase itself: a frequent phrase is one entry of each task, and buckets grow
+in number with the input. A bucket sums its phrases and deals out what flows on
+to their nodes. All else works on solid phrases alone.
 
 Defined results: languages that are null count as ``und``; null and empty texts
 have no words; repeated rows count as often as they occur; a very long text is
@@ -50,9 +52,21 @@ _END = b"\xff"
 #: Words a task counts at once, and distinct words it remembers.
 COUNTED = 6_000_000
 REMEMBERED = 1_000_000
-BATCH_ROWS = 50_000
-
-EDGE_SCHEMA = "lang string, phrase string, n long"
+#: Buckets for each partition of the input.
+BUCKETS = 4
+
+#: Phrases of one bucket with their counts: sums of so many words that are done,
+#: or with 0 words phrases that are still to be summed.
+SHEAF_SCHEMA = "lang string, bucket int, words int, phrases array<string>, counts array<long>"
+_SHEAF = pa.schema(
+    [
+        ("lang", pa.string()),
+        ("bucket", pa.int32()),
+        ("words", pa.int32()),
+        ("phrases", pa.list_(pa.string())),
+        ("counts", pa.list_(pa.int64())),
+    ]
+)
 
 
 def words_and_ends(texts: list[bytes]) -> list[bytes]:
@@ -71,13 +85,48 @@ class Codes(dict):
         return code
 
 
-def counted_edges(lang: str, codes: np.ndarray, words: Codes, longest: int) -> Iterator[pa.RecordBatch]:
-    """Distinct edges of coded words with their counts. What an end cuts short
+def bucket_of(phrases: pa.StringArray, buckets: int) -> np.ndarray:
+    """A bucket for each phrase, by its length and its first and last bytes."""
+    starts = np.frombuffer(phrases.buffers()[1], dtype=np.int32)[phrases.offset : phrases.offset + len(phrases) + 1].astype(np.int64)
+    content = phrases.buffers()[2]
+    data = np.frombuffer(content, dtype=np.uint8) if content is not None and content.size else np.zeros(1, dtype=np.uint8)
+    first, length = starts[:-1], np.diff(starts)
+    key = length.astype(np.uint64)
+    for back in (False, True):
+        for step in range(8):
+            at = first + (length - 1 - step if back else step)
+            byte = np.where(step < length, data[np.clip(at, 0, len(data) - 1)], 0)
+            key = (key ^ byte.astype(np.uint64)) * np.uint64(0x100000001B3)
+    key ^= key >> np.uint64(32)
+    key *= np.uint64(0x9E3779B97F4A7C15)
+    return ((key >> np.uint64(33)) % np.uint64(buckets)).astype(np.int32)
+
+
+def sheaves(lang: str, phrases: pa.StringArray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Phrases still to be summed, one row for each bucket that has any."""
+    bucket = bucket_of(phrases, buckets)
+    order = np.argsort(bucket, kind="stable")
+    found, begins = np.unique(bucket[order], return_index=True)
+    offsets = pa.array(np.append(begins, len(order)), pa.int32())
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([lang] * len(found), pa.string()),
+            pa.array(found, pa.int32()),
+            pa.array(np.zeros(len(found)), pa.int32()),
+            pa.ListArray.from_arrays(offsets, phrases.take(pa.array(order))),
+            pa.ListArray.from_arrays(offsets, pa.array(counts[order], pa.int64())),
+        ],
+        schema=_SHEAF,
+    )
+
+
+def counted_edges(codes: np.ndarray, words: Codes, longest: int) -> tuple[pa.StringArray, np.ndarray]:
+    """Distinct edges of coded words, and their counts. What an end cuts short
     is an edge of fewer words."""
     size = len(words)
-    padded = np.concatenate([codes, np.zeros(longest, dtype=np.int64)])
+    padded = np.concatenate([codes, np.zeros(longest, dtype=codes.dtype)])
     begins = np.flatnonzero(codes)
-    key, keys, goes_on = padded[begins], size, np.ones(len(begins), dtype=bool)
+    key, keys, goes_on = padded[begins].astype(np.int64), size, np.ones(len(begins), dtype=bool)
     renumbered: dict[int, np.ndarray] = {}
     for step in range(1, longest):
         if keys > 2**62 // size:
@@ -89,30 +138,26 @@ def counted_edges(lang: str, codes: np.ndarray, words: Codes, longest: int) -> I
     at, number = np.unique(key, return_counts=True)
     columns = []
     for step in range(longest - 1, 0, -1):
-        columns.append(at % size)
+        columns.append((at % size).astype(np.int32))
         at = at // size
         at = renumbered[step][at] if step in renumbered else at
     columns.append(at)
     vocabulary = pa.array([None, *list(words)[1:]], pa.binary())
-    for start in range(0, len(number), BATCH_ROWS):
-        rows = slice(start, start + BATCH_ROWS)
-        parts = [vocabulary.take(pa.array(column[rows])) for column in reversed(columns)]
-        phrase = pc.binary_join_element_wise(*parts, b" ", null_handling="skip").cast(pa.string())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(phrase)), phrase, pa.array(number[rows], pa.int64())], names=["lang", "phrase", "n"]
-        )
+    parts = [vocabulary.take(pa.array(column)) for column in reversed(columns)]
+    return pc.binary_join_element_wise(*parts, b" ", null_handling="skip").cast(pa.string()), number
 
 
-def edges(docs: DataFrame, longest: int) -> DataFrame:
-    """``lang``, ``phrase`` and ``n``: the edges counted within each task. Those
-    of fewer than ``longest`` words end their piece."""
+def edges(docs: DataFrame, longest: int, buckets: int) -> DataFrame:
+    """Sheaves of the edges counted within each task. Those of fewer than
+    ``longest`` words end their piece."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, held, number = Codes(), {}, 0
 
         def flushed() -> Iterator[pa.RecordBatch]:
             for lang, parts in held.items():
-                yield from counted_edges(lang, np.concatenate(parts), words, longest)
+                phrases, counts = counted_edges(np.concatenate(parts), words, longest)
+                yield sheaves(lang, phrases, counts, buckets)
             held.clear()
 
         for rows, texts in text_slices(batches):
@@ -123,7 +168,7 @@ def edges(docs: DataFrame, longest: int) -> DataFrame:
                     by_lang.setdefault(UNKNOWN_LANGUAGE if lang is None else lang, []).append(text)
             for lang, own in by_lang.items():
                 found = words_and_ends(own)
-                held.setdefault(lang, []).append(np.array([words[word] for word in found], dtype=np.int64))
+                held.setdefault(lang, []).append(np.array([words[word] for word in found], dtype=np.int32))
                 number += len(found)
             if number > COUNTED or len(words) > REMEMBERED:
                 yield from flushed()
@@ -132,7 +177,49 @@ def edges(docs: DataFrame, longest: int) -> DataFrame:
         yield from flushed()
 
     named = docs.withColumn("lang", F.col("lang").cast("string"))
-    return with_texts(named, "lang").mapInArrow(count, EDGE_SCHEMA)
+    return with_texts(named, "lang").mapInArrow(count, SHEAF_SCHEMA)
+
+
+def _summed(phrases: pa.Array, counts: pa.Array) -> tuple[pa.StringArray, pa.Int64Array]:
+    """Distinct phrases and the sums of their counts."""
+    told = pa.table({"phrase": phrases, "n": counts}).group_by("phrase").aggregate([("n", "sum")]).combine_chunks()
+    return tuple(_array(told.column(name), kind) for name, kind in (("phrase", pa.string()), ("n_sum", pa.int64())))
+
+
+def _array(column: pa.ChunkedArray, kind: pa.DataType) -> pa.Array:
+    return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], kind)
+
+
+def flowed_on(level: int, least: int, buckets: int):
+    """For the sheaves of a bucket: phrases of ``level`` words that occur at least
+    ``least`` times, and what all phrases add to their nodes' flow."""
+
+    def work(key: tuple, table: pa.Table) -> pa.Table:
+        lang, bucket = (value.as_py() for value in key)
+        is_open = pc.equal(table.column("words"), 0)
+        done, waiting = table.filter(pc.invert(is_open)), table.filter(is_open)
+        if not waiting.num_rows:
+            return done
+        flat = [pc.list_flatten(waiting.column(name)) for name in ("phrases", "counts")]
+        phrases, counts = _summed(*flat)
+        # a phrase that is shorter already ended its piece
+        whole = pc.equal(pc.count_substring(phrases, " "), level - 1)
+        if level == 1:
+            whole = pc.not_equal(phrases, "")
+        solid = pc.and_(whole, pc.greater_equal(counts, least))
+        kept = [column.filter(solid) for column in (phrases, counts)]
+        parts = [done]
+        if len(kept[0]):
+            offsets = pa.array([0, len(kept[0])], pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, column) for column in kept]
+            named = [pa.array([x], kind) for x, kind in zip((lang, bucket, level), _SHEAF.types)]
+            parts.append(pa.Table.from_arrays([*named, *lists], schema=_SHEAF))
+        cut = pc.replace_substring_regex(phrases, r" [^ ]*$", "") if level > 1 else pa.array([""] * len(phrases))
+        phrases, counts = _summed(pc.if_else(whole, cut, phrases), counts)
+        parts.append(pa.Table.from_batches([sheaves(lang, phrases, counts.to_numpy(), buckets)]))
+        return pa.concat_tables([part.cast(_SHEAF) for part in parts])
+
+    return work
 
 
 def word_count(phrase: Column) -> Column:
@@ -144,22 +231,16 @@ def solid_phrases(docs: DataFrame, longest: int = 3, least: int = 10) -> DataFra
     ``longest`` words that occur at least ``least`` times; the number of all
     words of a language comes with 0 words and an empty phrase.
 
-    At each level an open row is summed; if it is solid it is set aside, and in
-    any case its last word is cut off, which makes it part of its node's flow.
+    At each level the buckets' phrases are summed, solid ones are set aside, and
+    the last word of all is cut off, which makes them part of their node's flow.
     """
-    rows = edges(docs, longest).withColumn("words", F.lit(0))
-    for level in range(longest, -1, -1):
-        rows = rows.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
-        if not level:
-            break
-        row = lambda words, phrase: F.struct(words.alias("words"), phrase.alias("phrase"))
-        cut = row(F.lit(0), F.substring_index("phrase", " ", level - 1))
-        aside = row(F.lit(level), F.col("phrase"))
-        solid = (F.col("n") >= least) & (word_count(F.col("phrase")) == level) & (F.col("phrase") != "")
-        made = F.when(F.col("words") > 0, F.array(row(F.col("words"), F.col("phrase"))))
-        made = made.when(solid, F.array(aside, cut)).otherwise(F.array(cut))
-        rows = rows.select("lang", "n", F.inline(made))
-    return rows.select("lang", "words", "phrase", "n")
+    spark = docs.sparkSession
+    buckets = max(BUCKETS * docs.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = edges(docs, longest, buckets)
+    for level in range(longest, 0, -1):
+        rows = rows.groupBy("lang", "bucket").applyInArrow(flowed_on(level, least, buckets), SHEAF_SCHEMA)
+    each = rows.select("lang", "words", F.inline(F.arrays_zip(F.col("phrases").alias("phrase"), F.col("counts").alias("n"))))
+    return each.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
 
 
 def _joined(rows: DataFrame, phrases: DataFrame, column: str, name: str) -> DataFrame:

@@ -81,10 +81,9 @@ def test_edges_of_many_words_are_renumbered():
     codes = np.array([words[word] for word in text])
     for i in range(3_000_000):
         words[i] = len(words)  # numbers that no word of the text has
-    found = {}
     words = dict(zip([str(word).encode() if isinstance(word, int) else word for word in words], words.values()))
-    for batch in phrase_graph.counted_edges("en", codes, words, 4):
-        found.update(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
+    phrases, counts = phrase_graph.counted_edges(codes, words, 4)
+    found = dict(zip(phrases.to_pylist(), counts.tolist()))
     plain = [word.decode() for word in text[:-1]]
     want = Counter(" ".join(plain[i : i + 4]) for i in range(len(plain)))
     assert found == want
