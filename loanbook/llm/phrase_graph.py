@@ -52,18 +52,19 @@ _END = b"\xff"
 #: Words a task counts at once, and distinct words it remembers.
 COUNTED = 6_000_000
 REMEMBERED = 1_000_000
-#: Buckets for each partition of the input.
-BUCKETS = 4
+#: Bytes of text for each bucket, about, and the fewest buckets.
+BUCKET_BYTES = 32 << 20
+LEAST_BUCKETS = 32
 
-#: Phrases of one bucket with their counts: sums of so many words that are done,
-#: or with 0 words phrases that are still to be summed.
-SHEAF_SCHEMA = "lang string, bucket int, words int, phrases array<string>, counts array<long>"
+#: Phrases of one bucket, a line each, with their counts: sums of so many words
+#: that are done, or with 0 words phrases that are still to be summed.
+SHEAF_SCHEMA = "lang string, bucket int, words int, phrases string, counts array<long>"
 _SHEAF = pa.schema(
     [
         ("lang", pa.string()),
         ("bucket", pa.int32()),
         ("words", pa.int32()),
-        ("phrases", pa.list_(pa.string())),
+        ("phrases", pa.string()),
         ("counts", pa.list_(pa.int64())),
     ]
 )
@@ -102,6 +103,11 @@ def bucket_of(phrases: pa.StringArray, buckets: int) -> np.ndarray:
     return ((key >> np.uint64(33)) % np.uint64(buckets)).astype(np.int32)
 
 
+def _lines(offsets: pa.Int32Array, phrases: pa.StringArray) -> pa.StringArray:
+    """Runs of phrases as one text each; no phrase holds a line break."""
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, phrases), "\n")
+
+
 def sheaves(lang: str, phrases: pa.StringArray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
     """Phrases still to be summed, one row for each bucket that has any."""
     bucket = bucket_of(phrases, buckets)
@@ -113,7 +119,7 @@ def sheaves(lang: str, phrases: pa.StringArray, counts: np.ndarray, buckets: int
             pa.array([lang] * len(found), pa.string()),
             pa.array(found, pa.int32()),
             pa.array(np.zeros(len(found)), pa.int32()),
-            pa.ListArray.from_arrays(offsets, phrases.take(pa.array(order))),
+            _lines(offsets, phrases.take(pa.array(order))),
             pa.ListArray.from_arrays(offsets, pa.array(counts[order], pa.int64())),
         ],
         schema=_SHEAF,
@@ -200,8 +206,8 @@ def flowed_on(level: int, least: int, buckets: int):
         done, waiting = table.filter(pc.invert(is_open)), table.filter(is_open)
         if not waiting.num_rows:
             return done
-        flat = [pc.list_flatten(waiting.column(name)) for name in ("phrases", "counts")]
-        phrases, counts = _summed(*flat)
+        lines = pc.list_flatten(pc.split_pattern(waiting.column("phrases"), "\n"))
+        phrases, counts = _summed(lines, pc.list_flatten(waiting.column("counts")))
         # a phrase that is shorter already ended its piece
         whole = pc.equal(pc.count_substring(phrases, " "), level - 1)
         if level == 1:
@@ -211,9 +217,9 @@ def flowed_on(level: int, least: int, buckets: int):
         parts = [done]
         if len(kept[0]):
             offsets = pa.array([0, len(kept[0])], pa.int32())
-            lists = [pa.ListArray.from_arrays(offsets, column) for column in kept]
             named = [pa.array([x], kind) for x, kind in zip((lang, bucket, level), _SHEAF.types)]
-            parts.append(pa.Table.from_arrays([*named, *lists], schema=_SHEAF))
+            columns = [*named, _lines(offsets, kept[0]), pa.ListArray.from_arrays(offsets, kept[1])]
+            parts.append(pa.Table.from_arrays(columns, schema=_SHEAF))
         cut = pc.replace_substring_regex(phrases, r" [^ ]*$", "") if level > 1 else pa.array([""] * len(phrases))
         phrases, counts = _summed(pc.if_else(whole, cut, phrases), counts)
         parts.append(pa.Table.from_batches([sheaves(lang, phrases, counts.to_numpy(), buckets)]))
@@ -234,12 +240,12 @@ def solid_phrases(docs: DataFrame, longest: int = 3, least: int = 10) -> DataFra
     At each level the buckets' phrases are summed, solid ones are set aside, and
     the last word of all is cut off, which makes them part of their node's flow.
     """
-    spark = docs.sparkSession
-    buckets = max(BUCKETS * docs.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    buckets = max(LEAST_BUCKETS, size // BUCKET_BYTES)
     rows = edges(docs, longest, buckets)
     for level in range(longest, 0, -1):
         rows = rows.groupBy("lang", "bucket").applyInArrow(flowed_on(level, least, buckets), SHEAF_SCHEMA)
-    each = rows.select("lang", "words", F.inline(F.arrays_zip(F.col("phrases").alias("phrase"), F.col("counts").alias("n"))))
+    each = rows.select("lang", "words", F.inline(F.arrays_zip(F.split("phrases", "\n").alias("phrase"), F.col("counts").alias("n"))))
     return each.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
 
 
