@@ -50,8 +50,10 @@ UNKNOWN_LANGUAGE = "und"
 #: Stands for the end of a piece; no UTF-8 text holds this byte.
 _END = b"\xff"
 #: Words a task counts at once, and distinct words it remembers.
-COUNTED = 6_000_000
-REMEMBERED = 1_000_000
+COUNTED = 2_000_000
+REMEMBERED = 500_000
+#: Phrases hashed in one step of numpy.
+HASHED = 1 << 17
 #: Bytes of text for each bucket, about, and the fewest buckets.
 BUCKET_BYTES = 32 << 20
 LEAST_BUCKETS = 32
@@ -88,6 +90,9 @@ class Codes(dict):
 
 def bucket_of(phrases: pa.StringArray, buckets: int) -> np.ndarray:
     """A bucket for each phrase, by its length and its first and last bytes."""
+    if len(phrases) > HASHED:
+        parts = [phrases.slice(at, HASHED) for at in range(0, len(phrases), HASHED)]
+        return np.concatenate([bucket_of(part, buckets) for part in parts])
     starts = np.frombuffer(phrases.buffers()[1], dtype=np.int32)[phrases.offset : phrases.offset + len(phrases) + 1].astype(np.int64)
     content = phrases.buffers()[2]
     data = np.frombuffer(content, dtype=np.uint8) if content is not None and content.size else np.zeros(1, dtype=np.uint8)
