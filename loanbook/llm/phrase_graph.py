@@ -50,12 +50,14 @@ UNKNOWN_LANGUAGE = "und"
 #: Stands for the end of a piece; no UTF-8 text holds this byte.
 _END = b"\xff"
 #: Words a task counts at once, and distinct words it remembers.
-COUNTED = 2_000_000
+COUNTED = 1_000_000
 REMEMBERED = 500_000
+#: Bytes of text a task splits into words at once.
+SLICE = 1 << 20
 #: Phrases hashed in one step of numpy.
 HASHED = 1 << 17
 #: Bytes of text for each bucket, about, and the fewest buckets.
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 8 << 20
 LEAST_BUCKETS = 32
 
 #: Phrases of one bucket, a line each, with their counts: sums of so many words
@@ -170,8 +172,9 @@ def edges(docs: DataFrame, longest: int, buckets: int) -> DataFrame:
                 phrases, counts = counted_edges(np.concatenate(parts), words, longest)
                 yield sheaves(lang, phrases, counts, buckets)
             held.clear()
+            pa.default_memory_pool().release_unused()
 
-        for rows, texts in text_slices(batches):
+        for rows, texts in text_slices(batches, SLICE):
             langs = rows.column(rows.schema.get_field_index("lang")).to_pylist()
             by_lang: dict[str, list[bytes]] = {}
             for lang, text in zip(langs, texts, strict=True):
@@ -228,6 +231,7 @@ def flowed_on(level: int, least: int, buckets: int):
         cut = pc.replace_substring_regex(phrases, r" [^ ]*$", "") if level > 1 else pa.array([""] * len(phrases))
         phrases, counts = _summed(pc.if_else(whole, cut, phrases), counts)
         parts.append(pa.Table.from_batches([sheaves(lang, phrases, counts.to_numpy(), buckets)]))
+        pa.default_memory_pool().release_unused()
         return pa.concat_tables([part.cast(_SHEAF) for part in parts])
 
     return work
