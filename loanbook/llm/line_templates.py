@@ -9,22 +9,26 @@ all of them.
 
 Whole copies of a document share every line without any of it being boilerplate;
 they are left to document dedup. So it is unrelated documents that are counted.
-Equal texts count once. A line's text is described by ``SEEDS`` smallest hashes
-of the pieces (some words in a row) of its other lines, so that a line never
-tells where it belongs. Of the texts that share one of these hashes under a
-template the first leads, and a text that leads by most hashes is unrelated to
-all before it. Near copies agree in most hashes, so hardly more than one of them
-leads; further copies never take from the count. A template recurs if enough
-unrelated documents have it, however many documents there are.
-
-Only DataFrame functions are used. Lines are counted before they are shuffled,
-once per document, and all that joins back to the texts is a list of line keys
-for each distinct text with anything to drop.
-
-Defined results: a null text stays null, an empty one empty; lines of fewer than
-``LEAST_TOKENS`` tokens are never dropped; line breaks between kept lines stay
-as they are, and a text whose lines are all dropped becomes empty; repeated rows
-are treated alike; an empty table gives no rows. All other columns are kept.
+A text is sketched by the ``SKETCH`` smallest hashes of its pieces (some words in
+a row), with the line each lies in. Texts that share such a hash follow the one
+of smallest id, and what most hashes of a text follow names its family; equal
+texts and near copies have one family between them. For each line the hashes
+that lie in it have no say, so a line never tells where it belongs. Texts that
+are little else than a line count as one family there. A template recurs if
+enough families have it, however many documents there are: fewer for a long
+line, which hardly recurs by chance, and many more for one of few tokens, which
+is compared whole and takes no part in the tree.
+
+Only DataFrame functions are used. A text is parsed into one row of line keys;
+families are found per text, and what is shuffled of a line is its key and its
+family, once for each of them. All that joins back to the texts is a list of line
+keys for each distinct text with anything to drop.
+
+Defined results: a null text stays null, an empty one empty; line breaks between
+kept lines stay as they are, and a text whose lines are all dropped becomes
+empty; repeated rows are treated alike; a very long text is one row while it is
+parsed, some times its size; an empty table gives no rows. All other columns are
+kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,17 +40,23 @@ from pyspark.sql import functions as F
 
 from loanbook.llm.texts import documents, staged
 
-#: Shorter lines recur by chance and cost little.
+#: Shorter lines take no part in the tree, longer ones than the other hardly
+#: recur by chance.
 LEAST_TOKENS = 5
+LONG_TOKENS = 50
 #: Leading tokens the tree branches on below the number of tokens.
 LEADING = 3
-#: Unrelated documents that must share a template, or a token at its place in a leaf.
+#: Families that must share a template, or a token at its place in a leaf; a long
+#: line; and a short one.
 LEAST_FAMILIES = 3
-#: Hashes that describe a text, and how many of them an unrelated one leads by.
-SEEDS = 12
-LEAST_LED = 7
-#: Lines are cut after words that end so; shorter pieces tell nothing.
-_CUT = "(?<=[.!?;yr]) "
+LONG_FAMILIES = 2
+SHORT_FAMILIES = 50
+#: Hashes that describe a text, and the share of them that must lie outside of a
+#: line to tell its family.
+SKETCH = 12
+OUTSIDE = 0.2
+#: Lines are cut behind words that end so; shorter pieces tell nothing.
+_CUT = "[.!?;yr] "
 PIECE_CHARS = 20
 #: Share of constant tokens that makes lines of a leaf similar.
 SIMILAR = 0.7
@@ -71,10 +81,10 @@ def masked(line: Column) -> Column:
     return F.when(line.rlike("[0-9]"), F.regexp_replace(F.trim(single), _DIGITS, VARIABLE)).otherwise(F.trim(single))
 
 
-def pieces(line: Column) -> Column:
-    """Hashes of the long pieces of a line."""
+def piece_hashes(line: Column) -> Column:
+    """Hashes of the long pieces of a line; one without any is a piece itself."""
     long = F.filter(F.split(line, _CUT), lambda piece: F.length(piece) >= PIECE_CHARS)
-    return F.transform(long, lambda piece: F.xxhash64(piece))
+    return F.transform(F.when(F.size(long) > 0, long).otherwise(F.array(line)), lambda piece: F.xxhash64(piece))
 
 
 def _key(text: Column) -> Column:
@@ -86,128 +96,153 @@ def _let(value: Column, result: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), result), F.lit(0))
 
 
-def described(lines: Column) -> Column:
-    """Distinct lines with the smallest hashes, by ``SEEDS`` seeds, of all other
-    lines' pieces; a line without long pieces is one itself."""
-    seeds = F.array(*[F.lit(seed) for seed in range(SEEDS)])
-
-    def smallest(line: Column, hashes: Column) -> Column:
-        least = lambda seed: F.array_min(F.transform(hashes, lambda piece: F.hash(piece, seed)))
-        return F.transform(seeds, lambda seed: F.coalesce(least(seed), F.hash(line, seed)))
-
-    def others(lines: Column, least: Column) -> Column:
-        # the two smallest of the whole text: without a line, it is the one or the other
-        both = F.transform(seeds, lambda seed: F.slice(F.sort_array(F.transform(least, lambda own: F.get(own, seed))), 1, 2))
-        left = lambda own, two: F.get(two, F.when(own == F.get(two, F.lit(0)), 1).otherwise(0))
-        row = lambda both: lambda line, own: F.struct(line.alias("line"), F.zip_with(own, both, left).alias("hashes"))
-        return _let(both, lambda both: F.zip_with(lines, least, row(both)))
-
-    by_line = lambda lines: F.zip_with(lines, F.transform(lines, pieces), smallest)
-    return _let(lines, lambda lines: _let(by_line(lines), lambda least: others(lines, least)))
-
-
-def parsed_lines(docs: DataFrame) -> DataFrame:
-    """The lines long enough to be templates, once per document and line: the
-    ``line`` itself (masked), keys of text, line and leaf, and the ``hashes`` of
-    the text's other lines."""
-    long_enough = rf"^(?:[^ ]+ ){{{LEAST_TOKENS - 1}}}[^ ]"
-    lines = F.array_distinct(F.filter(F.transform(line_parts(F.col("text")), masked), lambda line: line != ""))
-    rows = F.filter(described(lines), lambda row: row["line"].rlike(long_enough))
-    # all that is worked out once per text comes before the lines are spread out
-    texts = docs.where(F.col("text").isNotNull()).select(_key(F.col("text")).alias("text_key"), rows.alias("rows"))
-    # a plain explode would work all of it out again in filters of its own
-    rows = texts.select("text_key", F.explode_outer("rows").alias("row")).where(F.col("row").isNotNull())
-    rows = rows.select("text_key", "row.line", "row.hashes")
-    leaf = F.concat_ws(" ", F.size(F.split("line", " ")), F.substring_index("line", " ", LEADING))
-    return rows.withColumns(
-        {"text_id": F.xxhash64("text_key"), "line_key": _key(F.col("line")), "leaf_key": _key(leaf)}
-    )
+def n_tokens(line: Column) -> Column:
+    return (F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1).cast("int")
+
+
+def masked_lines(text: Column) -> Column:
+    """The distinct lines of a text, masked, without empty ones."""
+    return F.array_distinct(F.filter(F.transform(line_parts(text), masked), lambda line: line != ""))
+
+
+def parsed_texts(docs: DataFrame) -> DataFrame:
+    """One row per document with lines: ``text_id``, its ``lines`` (key, leaf and
+    number of tokens), and its ``sketch`` (hashes, and the line they lie in)."""
+
+    def line_row(line: Column) -> Column:
+        leaf = F.xxhash64(n_tokens(line), F.substring_index(line, " ", LEADING))
+        return F.struct(_key(line).alias("key"), leaf.alias("leaf"), n_tokens(line).alias("tokens"))
 
+    def sketch(by_line: Column) -> Column:
+        smallest = F.slice(F.array_sort(F.array_distinct(F.flatten(by_line))), 1, SKETCH)
+        holder = lambda value: F.array_position(F.transform(by_line, lambda own: F.array_contains(own, value)), True)
+        place = lambda value: F.struct(value.alias("hash"), (holder(value) - 1).cast("int").alias("at"))
+        return F.transform(smallest, place)
 
-def recurring(rows: DataFrame, *keys: str) -> DataFrame:
-    """Keys shared by enough unrelated documents, one row each. Rows are summed
-    before they are shuffled."""
-    texts = rows.select(*keys, "text_id").distinct().groupBy(*keys).agg(F.count("*").alias("texts"))
-    shared = staged(texts.where(F.col("texts") >= LEAST_FAMILIES).select(*keys), "shared")
-    hashes = rows.join(shared, list(keys), "left_semi").select(*keys, "text_id", F.posexplode("hashes").alias("seed", "hash"))
-    first = hashes.groupBy(*keys, "seed", "hash").agg(F.min("text_id").alias("leader"))
-    led = first.groupBy(*keys, "leader").agg(F.bit_or(F.expr("shiftleft(1, seed)")).alias("seeds"))
-    unrelated = led.where(F.bit_count("seeds") >= LEAST_LED).groupBy(*keys).agg(F.count("*").alias("documents"))
-    return unrelated.where(F.col("documents") >= LEAST_FAMILIES).select(*keys)
-
-
-def generalised(docs: DataFrame, parsed: DataFrame, leaves: DataFrame, settled: DataFrame) -> DataFrame:
-    """Lines of the given leaves, but for those already settled, whose template
-    with variable fields recurs: ``line_key``, one row each."""
-    texts = parsed.join(leaves, "leaf_key", "left_semi").select(F.col("text_key").alias("_wanted")).distinct()
-    holding = docs.join(staged(texts, "texts"), _key(F.col("text")) == F.col("_wanted"), "left_semi")
-    rows = parsed_lines(holding).join(leaves, "leaf_key", "left_semi").join(settled, "line_key", "left_anti")
-    rows = rows.select("text_id", "hashes", "line_key", "leaf_key", "line").dropDuplicates(["text_id", "line_key"])
-    rows = staged(rows, "leaves")
-    lines = rows.dropDuplicates(["line_key"]).select(
-        "line_key", "leaf_key", F.posexplode(F.split("line", " ")).alias("place", "token")
+    def told(lines: Column) -> Column:
+        sketched = _let(F.transform(lines, piece_hashes), sketch)
+        return F.struct(F.transform(lines, line_row).alias("lines"), sketched.alias("sketch"))
+
+    texts = docs.where(F.col("text").isNotNull()).select(
+        F.xxhash64("text").alias("text_id"), _let(masked_lines(F.col("text")), told).alias("told")
     )
-    tokens = rows.select("text_id", "hashes", "leaf_key", F.posexplode(F.split("line", " ")).alias("place", "token"))
-    constant = recurring(tokens, "leaf_key", "place", "token").withColumn("constant", F.lit(True))
-    told = lines.join(constant, ["leaf_key", "place", "token"], "left")
+    return texts.select("text_id", "told.lines", "told.sketch")
+
+
+def most_frequent(values: Column) -> Column:
+    """The most frequent value of an array, of equally frequent ones the largest."""
+    number = lambda value: F.size(F.filter(values, lambda other: other == value))
+    counted = F.transform(F.array_distinct(values), lambda value: F.struct(number(value), value.alias("value")))
+    return F.array_max(counted)["value"]
+
+
+def lines_with_family(texts: DataFrame) -> DataFrame:
+    """The lines of parsed texts, one row each: ``text_id``, ``key``, ``leaf``,
+    ``tokens`` and ``family``."""
+    values = texts.select("text_id", F.explode("sketch.hash").alias("hash")).distinct()
+    leaders = values.groupBy("hash").agg(F.min("text_id").alias("leader"), F.max("text_id").alias("last"))
+    followed = values.join(leaders.where("leader < last").drop("last"), "hash")
+    # as many entries as a sketch has, at most
+    led = followed.groupBy("text_id").agg(F.map_from_entries(F.collect_list(F.struct("hash", "leader"))).alias("led"))
+    led = staged(led.withColumnRenamed("text_id", "led_id"), "leaders")
+    joined = texts.join(led, F.col("text_id") == F.col("led_id"), "left")
+    leader = lambda entry: F.coalesce(F.element_at("led", entry["hash"]), "text_id")
+    votes = F.transform("sketch", lambda entry: F.struct(entry["at"].alias("at"), leader(entry).alias("leader")))
+    voted = joined.select("text_id", "lines", votes.alias("votes"))
+    voted = voted.select("*", most_frequent(F.col("votes.leader")).alias("whole"))
+
+    def outside(line: Column, at: Column) -> Column:
+        rest = F.filter("votes", lambda vote: vote["at"] != at)
+        enough = lambda rest: F.size(rest) >= OUTSIDE * F.size("votes")
+        own = lambda rest: F.when(enough(rest), most_frequent(rest["leader"])).otherwise(F.xxhash64(line["key"]))
+        return F.when(F.array_contains("votes.at", at), _let(rest, own)).otherwise(F.col("whole"))
+
+    row = lambda line, at: F.struct(line["key"], line["leaf"], line["tokens"], outside(line, at).alias("family"))
+    each = voted.select("text_id", F.explode(F.transform("lines", row)).alias("line"))
+    return each.select("text_id", "line.key", "line.leaf", "line.tokens", "line.family")
+
+
+def recurring(rows: DataFrame, *keys: str, least: int | Column = LEAST_FAMILIES) -> DataFrame:
+    """Keys shared by enough families, one row each."""
+    shared = rows.select(*keys, "family").distinct().groupBy(*keys).agg(F.count("*").alias("families"))
+    return shared.where(F.col("families") >= least).select(*keys)
+
+
+def generalised(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Of lines whose leaf is crowded, those whose template with variable fields
+    recurs: ``key``, one row each."""
+    wanted = staged(rows.select("key", "leaf", "family").distinct(), "crowded")
+    # one text is enough to read a line from
+    holders = rows.groupBy("key").agg(F.min("text_id").alias("holder")).select("holder").distinct()
+    holding = docs.join(staged(holders, "holders"), F.xxhash64("text") == F.col("holder"), "left_semi")
+    read = holding.select(F.explode(masked_lines(F.col("text"))).alias("line")).select(_key(F.col("line")).alias("key"), "line")
+    lines = wanted.select("key", "leaf").distinct().join(read.dropDuplicates(["key"]), "key")
+    lines = staged(lines.select("key", "leaf", F.posexplode(F.split("line", " ")).alias("place", "token")), "tokens")
+    tokens = lines.join(wanted.select("key", "family"), "key")
+    constant = recurring(tokens, "leaf", "place", "token").withColumn("constant", F.lit(True))
+    told = lines.join(constant, ["leaf", "place", "token"], "left")
     field = F.when(F.col("constant"), F.col("token")).otherwise(VARIABLE)
-    templates = told.groupBy("line_key", "leaf_key").agg(
+    templates = told.groupBy("key", "leaf").agg(
         F.array_sort(F.collect_list(F.struct("place", field.alias("field")))).alias("fields"),
         (F.count("constant") / F.count("*")).alias("similar"),
     )
     named = templates.where(F.col("similar") >= SIMILAR).select(
-        "line_key", _key(F.concat_ws(" ", F.hex("leaf_key"), F.col("fields.field"))).alias("template_key")
+        "key", _key(F.concat_ws(" ", F.col("leaf").cast("string"), F.col("fields.field"))).alias("template")
     )
     named = staged(named, "templates")
-    found = recurring(rows.join(named, "line_key"), "template_key")
-    return named.join(found, "template_key", "left_semi").select("line_key")
+    found = recurring(wanted.join(named, "key"), "template")
+    return named.join(found, "template", "left_semi").select("key")
 
 
-def recurring_lines(docs: DataFrame, parsed: DataFrame) -> DataFrame:
+def recurring_lines(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """Keys of all lines whose template recurs across documents."""
-    equal = staged(recurring(parsed, "line_key"), "recurring")
-    open_lines = parsed.join(equal, "line_key", "left_anti")
-    leaves = staged(recurring(open_lines, "leaf_key"), "crowded")
-    return equal.union(generalised(docs, parsed, leaves, equal))
+    least = F.when(F.col("tokens") < LEAST_TOKENS, SHORT_FAMILIES).when(F.col("tokens") > LONG_TOKENS, LONG_FAMILIES)
+    equal = staged(recurring(rows, "key", "tokens", least=least.otherwise(LEAST_FAMILIES)).select("key"), "recurring")
+    open_rows = rows.where(F.col("tokens") >= LEAST_TOKENS).join(equal, "key", "left_anti")
+    crowded = staged(recurring(open_rows, "leaf"), "leaves")
+    return equal.union(generalised(docs, open_rows.join(crowded, "leaf", "left_semi")))
 
 
 def _cleaned(docs: DataFrame) -> DataFrame:
-    """The documents with the lines of recurring templates dropped from their
-    ``text``, and with ``_n_lines`` and ``_n_dropped``."""
-    typed = docs.withColumn("text", F.col("text").cast("string"))
-    parsed = staged(parsed_lines(typed).drop("line"), "lines")
-    drop = staged(recurring_lines(typed, parsed), "dropped")
+    """The documents (``row``) with their ``text`` less the lines of recurring
+    templates, and with ``n_lines`` and ``n_dropped``."""
+    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    typed = docs.select(whole.alias("row"), F.col("text").cast("string").alias("text"))
+    rows = staged(lines_with_family(staged(parsed_texts(typed), "texts")), "lines")
+    drop = staged(recurring_lines(typed, rows), "dropped")
     # at most the lines of one text each, and both sides of the join are stored
-    per_text = parsed.join(drop, "line_key", "left_semi").groupBy("text_key").agg(F.collect_set("line_key").alias("_drop"))
-    per_text = staged(per_text.withColumnRenamed("text_key", "_dropped_from"), "drops")
-    joined = typed.withColumn("_text_key", _key(F.col("text"))).join(
-        per_text, F.col("_text_key") == F.col("_dropped_from"), "left"
-    )
+    held = rows.select("text_id", "key").join(drop, "key", "left_semi").distinct()
+    per_text = held.groupBy("text_id").agg(F.collect_set("key").alias("drop"))
+    per_text = staged(per_text.withColumnRenamed("text_id", "dropped_from"), "drops")
+    joined = typed.join(per_text, F.xxhash64("text") == F.col("dropped_from"), "left")
     parts = line_parts(F.col("text"))
-    left = F.filter(parts, lambda line: ~F.array_contains("_drop", _key(masked(line))))
-    changed = F.col("_drop").isNotNull()
-    rows = joined.withColumn("_left", F.when(changed, left))
-    n_lines = F.coalesce(F.size(parts), F.lit(0))
-    return rows.withColumns(
-        {
-            "_n_lines": F.when(F.col("text").isNull(), 0).otherwise(n_lines).cast("long"),
-            "_n_dropped": F.when(changed, F.size(parts) - F.size("_left")).otherwise(0).cast("long"),
-            "text": F.when(changed, F.array_join("_left", "\n")).otherwise(F.col("text")),
-        }
-    ).select(*docs.columns, "_n_lines", "_n_dropped")
+    left = F.filter(parts, lambda line: ~F.array_contains("drop", _key(masked(line))))
+    changed = F.col("drop").isNotNull()
+    rows = joined.withColumn("left", F.when(changed, left))
+    return rows.select(
+        "row",
+        F.when(changed, F.array_join("left", "\n")).otherwise(F.col("text")).alias("text"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.coalesce(F.size(parts), F.lit(0))).cast("long").alias("n_lines"),
+        F.when(changed, F.size(parts) - F.size("left")).otherwise(0).cast("long").alias("n_dropped"),
+    )
+
+
+def _with_text(docs: DataFrame, without: tuple[str, ...] = ()) -> list[Column]:
+    return [
+        F.col("text") if name == "text" else F.col(f"row.`{name}`").alias(name) for name in docs.columns if name not in without
+    ]
 
 
 def without_templates(docs: DataFrame) -> DataFrame:
     """The documents without the lines of recurring templates, in the columns
     they came in."""
-    return _cleaned(docs).select(*docs.columns)
+    return _cleaned(docs).select(*_with_text(docs))
 
 
 def with_dropped(docs: DataFrame) -> DataFrame:
     """The same with ``n_lines`` and ``n_dropped``; columns of these names that
     the documents had give way."""
-    rows = _cleaned(docs.drop("n_lines", "n_dropped"))
-    return rows.withColumnsRenamed({"_n_lines": "n_lines", "_n_dropped": "n_dropped"})
+    return _cleaned(docs).select(*_with_text(docs, ("n_lines", "n_dropped")), "n_lines", "n_dropped")
 
 
 def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
