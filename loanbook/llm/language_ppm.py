@@ -16,12 +16,13 @@ Text is folded before: A-Z to lower case, digits to one digit.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0,
 and so is every text when nothing was learned; repeated rows are scored alike;
-an empty table gives no rows. Labels are read for learning only, and other
-columns are ignored.
+an empty table gives no rows; a very long text is scored in blocks. Labels are
+read for learning only, and other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -72,7 +73,7 @@ class Trees:
     def bits(self, texts: list[bytes]) -> np.ndarray:
         """Code length of each text in each language; texts are taken as if they
         followed a line break."""
-        lead = np.full(ORDER, self.symbol[10], dtype=np.int64)
+        lead = np.full(ORDER, self.symbol[10], dtype=np.uint8)
         total = np.zeros((len(texts), len(self.languages)))
         for row, text in enumerate(texts):
             codes = np.concatenate([lead, self.symbol[fold(text)]])
@@ -83,6 +84,7 @@ class Trees:
     def code_lengths(self, codes: np.ndarray) -> np.ndarray:
         """Bits of each code but the first three, in each language."""
         n = ALPHABET
+        codes = codes.astype(np.int64)
         two = codes[1:-2] * n + codes[2:-1]
         at = self.place[codes[:-3] * (n * n) + two]
         byte = codes[3:]
@@ -92,17 +94,22 @@ class Trees:
         return found
 
 
-def context_keys(text: np.ndarray, order: int) -> np.ndarray:
-    """The ``order`` codes from each place on, as one number."""
-    key = np.zeros(max(len(text) - order + 1, 0), dtype=np.int64)
+def context_keys(codes: np.ndarray, ends: np.ndarray, order: int) -> np.ndarray:
+    """The ``order`` codes from each place on, as one number, where they lie in
+    one of the texts, which end at the given places. Four codes fit 32 bits."""
+    key = np.zeros(max(len(codes) - order + 1, 0), dtype=np.int32)
     for step in range(order):
-        key = key * ALPHABET + text[step : len(text) - order + 1 + step]
-    return key
+        key *= ALPHABET
+        key += codes[step : len(codes) - order + 1 + step]
+    inside = np.ones(len(codes), dtype=bool)
+    for step in range(1, order):
+        inside[np.maximum(ends - step, 0)] = False
+    return key[inside[: len(key)]]
 
 
-def followers(codes: list[np.ndarray], order: int) -> np.ndarray:
+def followers(codes: np.ndarray, ends: np.ndarray, order: int) -> np.ndarray:
     """How often each byte followed each context of ``order`` bytes."""
-    keys = np.concatenate([context_keys(text, order + 1) for text in codes])
+    keys = context_keys(codes, ends, order + 1)
     return np.bincount(keys, minlength=ALPHABET ** (order + 1)).reshape(-1, ALPHABET)
 
 
@@ -122,35 +129,42 @@ def learn(sample: list[tuple[str, bytes]]) -> Trees | None:
     languages = sorted({language for language, _ in sample})
     if not languages:
         return None
-    folded = [(language, fold(text)) for language, text in sample]
-    seen = sum((np.bincount(text, minlength=256) for _, text in folded), np.zeros(256, dtype=np.int64))
+    # one language at a time, a byte for each byte of its texts
+    seen = np.zeros(256, dtype=np.int64)
+    for _, text in sample:
+        seen += np.bincount(fold(text), minlength=256)
     seen[10] = seen.max() + 1  # a line break leads every text
     frequent = np.argsort(-seen, kind="stable")[: ALPHABET - 1]
-    symbol = np.full(256, ALPHABET - 1, dtype=np.int64)
+    symbol = np.full(256, ALPHABET - 1, dtype=np.uint8)
     symbol[frequent] = np.arange(len(frequent))
-    lead = np.full(ORDER, symbol[10], dtype=np.int64)
-    own = {
-        language: [np.concatenate([lead, symbol[text]]) for name, text in folded if name == language]
-        for language in languages
-    }
+    lead = np.full(ORDER, symbol[10], dtype=np.uint8)
+
+    def own(language: str) -> tuple[np.ndarray, np.ndarray]:
+        """The codes of its texts in a row, and where each ends."""
+        texts = [np.concatenate([lead, symbol[fold(text)]]) for name, text in sample if name == language]
+        return np.concatenate(texts), np.cumsum([len(text) for text in texts])
+
     # contexts of three bytes over all languages, the most frequent ones kept
-    triples = {x: np.concatenate([context_keys(text[:-1], ORDER) for text in own[x]]) for x in languages}
-    context, count = np.unique(np.concatenate(list(triples.values())), return_counts=True)
-    kept = np.sort(context[np.argsort(-count, kind="stable")[:CONTEXTS]])
+    count = np.zeros(ALPHABET**3, dtype=np.int64)
+    for language in languages:
+        count += np.bincount(context_keys(*own(language), ORDER + 1) // ALPHABET, minlength=ALPHABET**3)
+    context = np.flatnonzero(count)
+    kept = np.sort(context[np.argsort(-count[context], kind="stable")[:CONTEXTS]])
     place = np.zeros(ALPHABET**3, dtype=np.int32)
     place[kept] = np.arange(1, len(kept) + 1)
     longest = np.zeros(((len(kept) + 1) * ALPHABET, len(languages)), dtype=np.float32)
     shorter = np.zeros((ALPHABET**3, len(languages)), dtype=np.float32)
     for column, language in enumerate(languages):
-        codes = own[language]
+        codes, ends = own(language)
         lengths = np.full((1, ALPHABET), np.log2(ALPHABET))
         for order in range(3):
             # context c of order bytes ends in the context c mod ALPHABET^(order - 1)
             above = np.tile(lengths, (ALPHABET, 1)) if order else lengths
-            lengths = escaped(followers(codes, order), above)
+            lengths = escaped(followers(codes, ends, order), above)
         shorter[:, column] = lengths.ravel()
-        after = np.concatenate([text[ORDER:] for text in codes])
-        counts = np.bincount(place[triples[language]] * ALPHABET + after, minlength=(len(kept) + 1) * ALPHABET)
+        followed = context_keys(codes, ends, ORDER + 1)
+        at = place[followed // ALPHABET] * ALPHABET + followed % ALPHABET
+        counts = np.bincount(at, minlength=(len(kept) + 1) * ALPHABET)
         above = np.concatenate([np.zeros((1, ALPHABET)), lengths[kept % ALPHABET**2]])
         longest[:, column] = escaped(counts.reshape(-1, ALPHABET), above).ravel()
     return Trees(languages, symbol, place, longest, shorter)
@@ -171,11 +185,14 @@ def labelled_sample(docs: DataFrame, languages_from: str = "lang") -> list[tuple
         .withColumns({"draw": unit_hash(F.col("text").cast("binary")), "same": F.xxhash64("text")})
         .select(F.col(languages_from).cast("string").alias("language"), piece.alias("text"), "draw", "same")
     )
-    # a share of each language small enough, chosen where the rows stand; then the bound itself
-    different = known.select(F.col("language").alias("_name"), "same").distinct()
-    counted = different.groupBy("_name").agg(F.count("*").alias("n"))
-    drawn = known.join(counted, F.col("language") == F.col("_name"))
-    drawn = drawn.where(F.col("draw") * F.col("n") < 1.5 * SAMPLE_DOCUMENTS).select("language", "text", "draw").distinct()
+    # a share of each language small enough, chosen where the rows stand; then the
+    # bound itself. One number for each language reaches the driver
+    different = known.select("language", "same").distinct().groupBy("language").agg(F.count("*").alias("n"))
+    shares = [(row.language, 1.5 * SAMPLE_DOCUMENTS / row.n) for row in different.collect()]
+    if not shares:
+        return []
+    share = F.element_at(F.create_map(*[F.lit(x) for pair in shares for x in pair]), F.col("language"))
+    drawn = known.where(F.col("draw") < share).select("language", "text", "draw").distinct()
     ranked = drawn.withColumn("rank", F.row_number().over(Window.partitionBy("language").orderBy("draw", "text")))
     chosen = ranked.where(F.col("rank") <= SAMPLE_DOCUMENTS).select("language", "text").orderBy("language", "text")
     return [(row.language, bytes(row.text)) for row in chosen.collect()]
@@ -217,19 +234,39 @@ def identify(docs: DataFrame) -> DataFrame:
 
 #: Documents whose best language has less of the probability are rejected.
 LEAST_SCORE = 0.5
+#: So are those that cost more bits a byte, by this factor, than all but a
+#: hundredth of the labelled texts; texts of fewer bytes vary too much for that.
+RATE_FACTOR = 1.3
+RATE_BYTES = 64
+
+
+def rate_limit(sample: list[tuple[str, bytes]]) -> float:
+    """The most bits a byte that text of a learned language takes: half of the
+    labelled texts are rated by what the other half teaches."""
+    trees = learn(sample[::2])
+    rated = [text for _, text in sample[1::2] if len(text) >= RATE_BYTES]
+    rates = told(trees, rated)[2] if trees else np.zeros(0)
+    rates = rates[np.isfinite(rates)]
+    return RATE_FACTOR * float(np.quantile(rates, 0.99)) if len(rates) else math.inf
 
 
 def accepted(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
-    """The documents, as they are, whose language is determined well enough."""
-    trees = learn(labelled_sample(docs))
+    """The documents, as they are, whose language is determined well enough.
+    Where there is nothing to learn from, nothing is rejected."""
+    sample = labelled_sample(docs)
+    trees, limit = learn(sample), rate_limit(sample)
+    rows = docs.withColumn("text", F.col("text").cast("string"))
+    if trees is None:
+        return rows
 
     def choose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in text_slices(batches):
-            names, scores, _ = told(trees, texts)
+            names, scores, rates = told(trees, texts)
+            long = np.array([len(text or b"") >= RATE_BYTES for text in texts])
             kept = (np.array(names, dtype=object) != UNDETERMINED) & (scores >= least_score)
-            yield rows.filter(pa.array(kept))
+            yield rows.filter(pa.array(kept & ~(long & (rates > limit))))
 
-    return docs.withColumn("text", F.col("text").cast("string")).mapInArrow(choose, docs.schema)
+    return rows.mapInArrow(choose, rows.schema)
 
 
 def op2_language_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:

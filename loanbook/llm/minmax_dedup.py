@@ -20,8 +20,13 @@ by both together.
 Defined results: A-Z are lower-cased, words are separated by white space as in
 ``WORD``; a text with fewer words than a shingle is one shingle; a text without
 words or null has none, is linked with nothing and is kept. Repeated rows are
-copies. A document without an id is linked with nothing, has no component and is
-kept. An empty table gives no rows. Other columns are ignored.
+copies. Rows that share an id and differ in text are documents of their own. A
+document without an id is linked with nothing, has no component and is kept. An
+empty table gives no rows. A very long text is worked on whole, in memory of some
+ten times its size. Other columns are ignored.
+
+A class is named by its smallest id and its set, in this order, so the smallest
+name in a component holds the smallest id in it.
 """
 
 from __future__ import annotations
@@ -132,16 +137,21 @@ def signatures(docs: DataFrame, size: int, bands: int = BANDS) -> DataFrame:
 
 
 def shingle_sets(texts: DataFrame, size: int) -> DataFrame:
-    """``doc_id`` and the distinct shingles of each text as numbers."""
+    """``low``, the id of each text, ``set_name`` and the distinct shingles as
+    numbers."""
 
     def collect(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
         for rows, texts, hashes in _slices(batches):
-            sets = [shingle_set(text, size, hashes).view(np.int64) for text in texts]
+            sets = [shingle_set(text, size, hashes) for text in texts]
+            names = [xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None for own in sets]
+            numbers = pa.array([own.view(np.int64) for own in sets], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "shingles"]
+                [rows.column(0), pa.array(names, pa.binary()), numbers], names=["low", "set_name", "shingles"]
             )
 
-    return texts.mapInArrow(collect, "doc_id long, shingles array<long>")
+    return texts.mapInArrow(collect, "low long, set_name binary, shingles array<long>")
 
 
 def _at(rows: DataFrame, suffix: str, *columns: str) -> DataFrame:
@@ -219,8 +229,10 @@ def class_links(docs: DataFrame, buckets: DataFrame, size: int, percent: int) ->
     if members.isEmpty():
         return None
     wanted = members.select("doc_id").distinct()
-    texts = with_texts(docs).join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = staged(shingle_sets(texts, size), "shingles")
+    low = wanted.select(F.col("doc_id.low").alias("low")).distinct()
+    texts = with_texts(docs).join(low, F.col("doc_id") == F.col("low"), "left_semi").dropDuplicates(["doc_id", "text"])
+    sets = shingle_sets(texts, size).select(F.struct("low", "set_name").alias("doc_id"), "shingles")
+    sets = staged(sets.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "shingles")
     # a set that shares too little of itself is linked with nothing
     bounds = shareable(sets).where(100 * F.col("open") >= percent * F.col("size"))
     members = staged(members.join(bounds, "doc_id"), "members")
@@ -275,13 +287,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     shingles of ``size`` words), and ``kept`` for the document of that id."""
     signed = staged(signatures(docs, size), "signatures")
     members = signed.where("doc_id is not null and set_name is not null")
-    classes = staged(members.groupBy("set_name").agg(F.min("doc_id").alias("doc_id")), "classes")
-    representatives = signed.join(classes.select("doc_id", "set_name"), ["doc_id", "set_name"], "left_semi")
+    classes = members.groupBy("set_name").agg(F.min("doc_id").alias("low"))
+    classes = staged(classes.select(F.struct("low", "set_name").alias("doc_id")), "classes")
+    named_rows = members.select(F.struct(F.col("doc_id").alias("low"), "set_name").alias("doc_id"), "bands")
+    representatives = named_rows.join(classes, "doc_id", "left_semi")
     buckets = representatives.select("doc_id", F.explode("bands").alias("key")).distinct()
     labels = class_links(docs, buckets, size, percent)
     named = classes if labels is None else with_component(classes, labels)
-    component = F.col("doc_id") if labels is None else F.col("component")
-    named = staged(named.select(F.col("set_name").alias("_name"), component.alias("_component")), "classes")
+    component = F.col("doc_id" if labels is None else "component")
+    named = named.select(F.col("doc_id.set_name").alias("_name"), component["low"].alias("_component"))
+    named = staged(named, "classes")
     # both sides are stored tables, so a class of many copies can be split
     joined = signed.join(named, F.col("set_name") == F.col("_name"), "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("_component", "doc_id"))
@@ -290,5 +305,25 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     )
 
 
+def one_of_each_group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The documents, as they are, less all but one row of each group: that of
+    smallest id stays, ids that are null come last, and of rows with one id the
+    first stored. Rows are numbered in a stored copy, so that repeated rows and
+    rows without an id are told apart."""
+    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    numbered = staged(docs.select(whole.alias("row"), F.monotonically_increasing_id().alias("number")), "numbered")
+    texts = numbered.select(F.col("number").alias("doc_id"), F.col("row.text").alias("text"))
+    found = near_duplicates(texts, size, percent).where(~F.col("kept")).select("component_id", F.col("doc_id").alias("number"))
+    found = staged(found, "copies")
+    members = found.union(found.select("component_id", F.col("component_id").alias("number")).distinct())
+    ids = numbered.select("number", F.col("row.doc_id").alias("id"))
+    ordered = F.struct(F.col("id").isNull(), "id", "number")
+    members = staged(members.join(ids, "number").select("component_id", ordered.alias("place")), "members")
+    first = members.groupBy("component_id").agg(F.min("place").alias("place"))
+    # all members but the first; a component has one first member
+    copies = members.select("place.number").join(first.select("place.number"), "number", "left_anti")
+    return numbered.join(staged(copies, "copies"), "number", "left_anti").select("row.*")
+
+
 def op3_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), size=3, percent=85)

@@ -167,11 +167,12 @@ def taken_by(keyed: DataFrame, cuts: DataFrame) -> DataFrame:
 def mixed(docs: DataFrame, seed: int = 1) -> DataFrame:
     """The documents the mix takes, each as often as it takes it, in the columns
     they came in."""
-    keyed = with_keys(docs, seed)
+    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    keyed = with_keys(docs.select(whole.alias("row"), "doc_id", "text", "source"), seed)
     cuts = source_cuts(staged(keyed.select("_id", "_source", "_size", "_key"), "keys"))
     rows = _with_copies(keyed, cuts.drop("source_size", "target")).where("_copies > 0")
     again = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
-    return rows.withColumn("_copy", again).select(*docs.columns)
+    return rows.select("row", again).select("row.*")
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ CAPACITY = 2048
 #: Documents whose pieces are packed together, on average.
 GROUP_DOCUMENTS = 4096
 
-PIECE_SCHEMA = "doc_id long, start long, length long, doc_tokens long, ids_crc32 long, ids binary"
+PIECE_SCHEMA = "doc_id long, start long, length long, doc_tokens long, ids_crc32 long, ids binary, place long"
 PACKED_SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 )
@@ -45,10 +45,11 @@ def crc_of(ids: np.ndarray) -> int:
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None) -> DataFrame:
     """Full pieces, and one remainder per document with its ids, two bytes
-    each: at most one sequence of them travels per document."""
+    each: at most one sequence of them travels per document. ``place`` numbers
+    the pieces of a task, so that repeated rows differ in it."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_ids(tokenizer)
+        encoder, place = word_ids(tokenizer), 0
         for rows, texts in text_slices(batches):
             ids, starts = encoder.of_texts(texts)
             out: list[tuple] = []
@@ -57,9 +58,10 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
                 for at in range(0, len(own), capacity):
                     part = own[at : at + capacity]
                     kept = None if len(part) == capacity else part.astype("<u2").tobytes()
-                    out.append((doc, at, len(part), len(own), crc_of(part), kept))
-            names = ["doc_id", "start", "length", "doc_tokens", "ids_crc32", "ids"]
-            kinds = [pa.int64()] * 5 + [pa.binary()]
+                    out.append((doc, at, len(part), len(own), crc_of(part), kept, place))
+                    place += 1
+            names = ["doc_id", "start", "length", "doc_tokens", "ids_crc32", "ids", "place"]
+            kinds = [pa.int64()] * 5 + [pa.binary(), pa.int64()]
             columns = [pa.array(column, kind) for column, kind in zip(zip(*out), kinds)]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -177,7 +179,7 @@ def pack(
             }
         )
 
-    group = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups))
+    group = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "place"), F.lit(groups))
     dealt = pieces(docs, capacity, tokenizer).withColumn("group", group)
     return dealt.groupBy("group").applyInArrow(pack_group, PACKED_SCHEMA)
 

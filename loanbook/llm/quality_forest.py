@@ -229,6 +229,14 @@ def calibrate(bins: list[tuple[int, int, int]], max_good_loss: float) -> float:
     return cut
 
 
+def fit_sample(known: DataFrame, fit_rows: int, seed: int) -> DataFrame:
+    """Counts and quality of different labelled documents, at most ``fit_rows``:
+    each task sends no more than that, and no more reach the driver."""
+    different = known.select("doc_id", *COUNTS, "quality").distinct()
+    drawn = different.withColumn("draw", unit_hash("doc_id", *COUNTS, seed=seed))
+    return drawn.orderBy("draw", "doc_id", *COUNTS, "quality").limit(fit_rows).select(*COUNTS, "quality")
+
+
 def judge(
     docs: DataFrame,
     labels: DataFrame,
@@ -241,8 +249,9 @@ def judge(
     """Counts, ``base_failed``, ``anomaly`` and ``kept`` of every document.
 
     The forest is grown on at most ``fit_rows`` labelled documents that pass the
-    base rule, those of smallest hash: trees hold the good ones, all of them
-    give the box. The cut-off counts every labelled document. A document with
+    base rule, those of smallest hash, repeated rows taken once: trees hold the
+    good ones, all of them give the box. The cut-off counts every labelled
+    document. A document with
     several labels counts as bad if any is.
     """
     statistics = staged(rule_statistics(docs).withColumn("base_failed", base_failed()), "rules")
@@ -253,11 +262,8 @@ def judge(
         .agg(F.min("quality").alias("quality"))
     )
     known = statistics.where(~F.col("base_failed")).join(marks, "doc_id")
-    # a share of the rows small enough, chosen where they stand; then the bound itself
-    drawn = known.withColumn("draw", unit_hash("doc_id", *COUNTS, seed=seed))
-    share = 1.1 * fit_rows / max(1, known.count())
-    chosen = drawn.where(F.col("draw") < share).select("draw", *COUNTS, "quality").collect()
-    chosen = np.array(sorted(chosen)[:fit_rows], dtype=float).reshape(-1, len(COUNTS) + 2)[:, 1:].astype(np.int64)
+    chosen = fit_sample(known, fit_rows, seed).collect()
+    chosen = np.array(chosen, dtype=np.int64).reshape(-1, len(COUNTS) + 1)
     verdict = ~F.col("base_failed")
     if not len(chosen) or not (chosen[:, -1] == 1).any():
         return statistics.withColumns({"anomaly": F.lit(None).cast("double"), "kept": verdict})

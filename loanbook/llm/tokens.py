@@ -2,7 +2,9 @@
 
 The lower-casing word tokenizer treats white space as nothing but a separator,
 so the ids of a text are those of its words in a row. A task tokenizes each
-distinct word once and looks the others up.
+distinct word once and looks the others up. Where a text spells a special token
+of the tokenizer, exactly as it is written, that is one id, whatever stands
+around it.
 """
 
 from __future__ import annotations
@@ -74,10 +76,20 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path or tokenizer_path())
-        # a text that spells a special token is text all the same
+        # special tokens are told apart in the raw text, before it is cut into words
+        self.special = {token.content.encode(): key for key, token in self.tokenizer.get_added_tokens_decoder().items()}
+        self.spelled = re.compile(b"(" + b"|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + b")")
         self.tokenizer.encode_special_tokens = True
         self.forget()
 
+    def words(self, text: bytes | None) -> list[bytes]:
+        """Words of a text; special tokens among them begin with a byte that no
+        text holds."""
+        if not text or not any(token in text for token in self.special):
+            return split(text)
+        parts = self.spelled.split(text)
+        return list(chain.from_iterable([b"\xff" + part] if at % 2 else split(part) for at, part in enumerate(parts)))
+
     def forget(self) -> None:
         """``place`` numbers the words; word i has ids[start[i] : start[i + 1]]."""
         self.place = Numbers()
@@ -86,8 +98,9 @@ class WordIds:
 
     def learn(self, words: list[bytes]) -> None:
         """Store the ids of new words, in the order of their numbers."""
-        found = self.tokenizer.encode_batch_fast([word.decode() for word in words], add_special_tokens=False)
-        ids = [entry.ids for entry in found]
+        plain = [word.decode() for word in words if word[:1] != b"\xff"]
+        found = iter(self.tokenizer.encode_batch_fast(plain, add_special_tokens=False))
+        ids = [[self.special[word[1:]]] if word[:1] == b"\xff" else next(found).ids for word in words]
         lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
         flat = np.fromiter(chain.from_iterable(ids), dtype=np.uint16, count=int(lengths.sum()))
         self.ids = np.concatenate([self.ids, flat])
@@ -102,7 +115,7 @@ class WordIds:
         numbers: list[int] = []
         ends = [0]
         for text in texts:
-            numbers += [place[word] for word in split(text)]
+            numbers += [place[word] for word in self.words(text)]
             ends.append(len(numbers))
         if place.new:
             self.learn(place.new)

@@ -29,9 +29,7 @@ def empty(spark, docs):
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = tokenizers.Tokenizer.from_file(tokenizer_path())
-    found.encode_special_tokens = True
-    return found
+    return tokenizers.Tokenizer.from_file(tokenizer_path())
 
 
 def ids_of(tokenizer, text):
@@ -43,7 +41,7 @@ def ids_of(tokenizer, text):
 
 def test_word_ids_equal_those_of_whole_texts(tokenizer):
     parts = ["The", "don't", "it's", "'S", "H̱", "Éx", "Σας ΟΔΟΣ", "\x0b", "\x1c", "\x85", " ", "İ", "ſ"]
-    parts += ["a.b", "end.", "x,", "...", "?.", "12", "<|endoftext|>", "漢字", "😀", " ", "\n", "\t", "_a_", "'", "ﬁ", "é."]
+    parts += ["a.b", "end.", "x,", "...", "?.", "12", "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "漢字", "😀", " ", "\n", "\t", "_a_", "'", "ﬁ", "é."]
     rng, words = random.Random(1), WordIds()
     for _ in range(400):
         text = "".join(rng.choice(parts) + rng.choice(["", "", " "]) for _ in range(rng.randint(0, 12)))
