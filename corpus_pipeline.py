@@ -18,7 +18,8 @@ from loanbook.llm.texts import documents, staged
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language, or without a likely one, go."""
+    """Documents without a language, without a likely one, or too unlike all
+    labelled text, go."""
     return language_ppm.accepted(docs)
 
 
@@ -31,10 +32,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by 80 % of five-word shingles, the smallest id stays."""
-    found = minmax_dedup.near_duplicates(docs, size=5, percent=80)
-    copies = staged(found.where(~F.col("kept")).select(F.col("doc_id").alias("_copy")).distinct(), "copies")
-    return docs.join(copies, F.col("doc_id") == F.col("_copy"), "left_anti")
+    """Of each group linked by 80 % of five-word shingles, one row stays: that
+    of the smallest id."""
+    return minmax_dedup.one_of_each_group(docs, size=5, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
