@@ -202,7 +202,7 @@ def told(trees: Trees | None, texts: list[bytes | None]) -> tuple[list[str], np.
     """Language, score and bits per byte of each text."""
     names = [UNDETERMINED] * len(texts)
     scores, rates = np.zeros(len(texts)), np.full(len(texts), np.nan)
-    known = [i for i, text in enumerate(texts) if trees and text and _LETTER.search(text.decode())]
+    known = [i for i, text in enumerate(texts) if trees and text and _LETTER.search(text.decode(errors="ignore"))]
     if known:
         bits = trees.bits([texts[i] for i in known])
         least = bits.min(1, keepdims=True)

@@ -211,3 +211,8 @@ def test_mixed_copies_keep_their_columns(spark):
     rows = [(i, "w " * 10, "a", i) for i in range(10)]
     found = mixing.mixed(spark.createDataFrame(rows, "doc_id long, text string, source string, _size int")).collect()
     assert found and all(row._size == row.doc_id for row in found)
+
+
+def test_pieces_cut_within_a_character_are_rated():
+    sample = [("fr", ("é" * 40 + " été ").encode()[: 60 + i]) for i in range(8)]
+    assert language_ppm.rate_limit([("fr", text * 2) for _, text in sample]) > 0
