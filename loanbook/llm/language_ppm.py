@@ -237,7 +237,7 @@ LEAST_SCORE = 0.5
 #: So are those that cost more bits a byte, by this factor, than all but a
 #: hundredth of the labelled texts; texts of fewer bytes vary too much for that.
 RATE_FACTOR = 1.3
-RATE_BYTES = 64
+RATE_BYTES = 256
 
 
 def rate_limit(sample: list[tuple[str, bytes]]) -> float:

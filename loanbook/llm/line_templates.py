@@ -11,13 +11,16 @@ Whole copies of a document share every line without any of it being boilerplate;
 they are left to document dedup. So it is unrelated documents that are counted.
 A text is sketched by the ``SKETCH`` smallest hashes of its pieces (some words in
 a row), with the line each lies in. Texts that share such a hash follow the one
-of smallest id, and what most hashes of a text follow names its family; equal
-texts and near copies have one family between them. For each line the hashes
-that lie in it have no say, so a line never tells where it belongs. Texts that
-are little else than a line count as one family there. A template recurs if
-enough families have it, however many documents there are: fewer for a long
-line, which hardly recurs by chance, and many more for one of few tokens, which
-is compared whole and takes no part in the tree.
+of smallest id; a text that follows another by a fifth of its hashes belongs to
+that one's family, any other founds its own. So equal texts and near copies have
+one family between them. For each line the hashes that lie in it have no say: a
+line never tells where it belongs. Texts that are little else than a line count
+as one family there.
+
+A template recurs if enough families have it, however many documents there are:
+three, or half the square root of the number of different texts, as some of very
+many near copies have nothing else in common by chance. A line of few tokens
+needs many more; it is compared whole and takes no part in the tree.
 
 Only DataFrame functions are used. A text is parsed into one row of line keys;
 families are found per text, and what is shuffled of a line is its key and its
@@ -40,21 +43,22 @@ from pyspark.sql import functions as F
 
 from loanbook.llm.texts import documents, staged
 
-#: Shorter lines take no part in the tree, longer ones than the other hardly
-#: recur by chance.
+#: Shorter lines take no part in the tree.
 LEAST_TOKENS = 5
-LONG_TOKENS = 50
 #: Leading tokens the tree branches on below the number of tokens.
 LEADING = 3
-#: Families that must share a template, or a token at its place in a leaf; a long
-#: line; and a short one.
+#: Families that must share a template, or a token at its place in a leaf, and
+#: families that must share a short line.
 LEAST_FAMILIES = 3
-LONG_FAMILIES = 2
 SHORT_FAMILIES = 50
-#: Hashes that describe a text, and the share of them that must lie outside of a
-#: line to tell its family.
-SKETCH = 12
+#: Hashes that describe a text, the share of them that must lie outside of a line
+#: to tell its family, and the share of those by which a text follows another.
+SKETCH = 24
 OUTSIDE = 0.2
+FOLLOW = 0.2
+#: A hash holds the number of its line in its lowest bits; lines from the last
+#: number on share it.
+LINE_BITS = 12
 #: Lines are cut behind words that end so; shorter pieces tell nothing.
 _CUT = "[.!?;yr] "
 PIECE_CHARS = 20
@@ -81,10 +85,19 @@ def masked(line: Column) -> Column:
     return F.when(line.rlike("[0-9]"), F.regexp_replace(F.trim(single), _DIGITS, VARIABLE)).otherwise(F.trim(single))
 
 
-def piece_hashes(line: Column) -> Column:
-    """Hashes of the long pieces of a line; one without any is a piece itself."""
+def piece_hashes(line: Column, at: Column) -> Column:
+    """Hashes of the long pieces of a line, with the line's number."""
+    number = F.least(at, F.lit((1 << LINE_BITS) - 1)).cast("long")
     long = F.filter(F.split(line, _CUT), lambda piece: F.length(piece) >= PIECE_CHARS)
-    return F.transform(F.when(F.size(long) > 0, long).otherwise(F.array(line)), lambda piece: F.xxhash64(piece))
+    return F.transform(long, lambda piece: F.xxhash64(piece).bitwiseAND(F.lit(-1 << LINE_BITS)).bitwiseOR(number))
+
+
+def piece_of(entry: Column) -> Column:
+    return entry.bitwiseAND(F.lit(-1 << LINE_BITS))
+
+
+def line_of(entry: Column) -> Column:
+    return entry.bitwiseAND(F.lit((1 << LINE_BITS) - 1)).cast("int")
 
 
 def _key(text: Column) -> Column:
@@ -102,26 +115,24 @@ def n_tokens(line: Column) -> Column:
 
 def masked_lines(text: Column) -> Column:
     """The distinct lines of a text, masked, without empty ones."""
-    return F.array_distinct(F.filter(F.transform(line_parts(text), masked), lambda line: line != ""))
+    lines = F.transform(line_parts(text), masked)
+    return F.array_distinct(F.filter(lines, lambda line: line != ""))
 
 
 def parsed_texts(docs: DataFrame) -> DataFrame:
     """One row per document with lines: ``text_id``, its ``lines`` (key, leaf and
-    number of tokens), and its ``sketch`` (hashes, and the line they lie in)."""
+    number of tokens), and its ``sketch``."""
 
     def line_row(line: Column) -> Column:
-        leaf = F.xxhash64(n_tokens(line), F.substring_index(line, " ", LEADING))
-        return F.struct(_key(line).alias("key"), leaf.alias("leaf"), n_tokens(line).alias("tokens"))
+        def row(tokens: Column) -> Column:
+            leaf = F.xxhash64(tokens, F.substring_index(line, " ", LEADING))
+            return F.struct(_key(line).alias("key"), leaf.alias("leaf"), tokens.alias("tokens"))
 
-    def sketch(by_line: Column) -> Column:
-        smallest = F.slice(F.array_sort(F.array_distinct(F.flatten(by_line))), 1, SKETCH)
-        holder = lambda value: F.array_position(F.transform(by_line, lambda own: F.array_contains(own, value)), True)
-        place = lambda value: F.struct(value.alias("hash"), (holder(value) - 1).cast("int").alias("at"))
-        return F.transform(smallest, place)
+        return _let(n_tokens(line), row)
 
     def told(lines: Column) -> Column:
-        sketched = _let(F.transform(lines, piece_hashes), sketch)
-        return F.struct(F.transform(lines, line_row).alias("lines"), sketched.alias("sketch"))
+        pieces = F.array_distinct(F.flatten(F.transform(lines, piece_hashes)))
+        return F.struct(F.transform(lines, line_row).alias("lines"), F.slice(F.sort_array(pieces), 1, SKETCH).alias("sketch"))
 
     texts = docs.where(F.col("text").isNotNull()).select(
         F.xxhash64("text").alias("text_id"), _let(masked_lines(F.col("text")), told).alias("told")
@@ -129,56 +140,66 @@ def parsed_texts(docs: DataFrame) -> DataFrame:
     return texts.select("text_id", "told.lines", "told.sketch")
 
 
-def most_frequent(values: Column) -> Column:
-    """The most frequent value of an array, of equally frequent ones the largest."""
-    number = lambda value: F.size(F.filter(values, lambda other: other == value))
-    counted = F.transform(F.array_distinct(values), lambda value: F.struct(number(value), value.alias("value")))
-    return F.array_max(counted)["value"]
+def followed(text_id: Column, votes: Column) -> Column:
+    """The text that most votes follow, of equal ones the largest id, if enough
+    do; else the text itself."""
+    others = F.filter(votes, lambda leader: leader != text_id)
+    number = lambda leader: F.size(F.filter(votes, lambda other: other == leader))
+    counted = F.transform(F.array_distinct(others), lambda leader: F.struct(number(leader), leader.alias("leader")))
+    enough = lambda most: F.when(most["col1"] >= FOLLOW * F.size(votes), most["leader"])
+    return F.coalesce(_let(F.array_max(counted), enough), text_id)
 
 
 def lines_with_family(texts: DataFrame) -> DataFrame:
-    """The lines of parsed texts, one row each: ``text_id``, ``key``, ``leaf``,
-    ``tokens`` and ``family``."""
-    values = texts.select("text_id", F.explode("sketch.hash").alias("hash")).distinct()
+    """The lines of different texts, one row each: ``text_id``, ``key``,
+    ``leaf``, ``tokens`` and ``family``."""
+    texts = staged(texts.dropDuplicates(["text_id"]), "texts")
+    values = texts.select("text_id", F.explode(F.array_distinct(F.transform("sketch", piece_of))).alias("hash"))
     leaders = values.groupBy("hash").agg(F.min("text_id").alias("leader"), F.max("text_id").alias("last"))
-    followed = values.join(leaders.where("leader < last").drop("last"), "hash")
+    shared = values.join(leaders.where("leader < last").drop("last"), "hash")
     # as many entries as a sketch has, at most
-    led = followed.groupBy("text_id").agg(F.map_from_entries(F.collect_list(F.struct("hash", "leader"))).alias("led"))
-    led = staged(led.withColumnRenamed("text_id", "led_id"), "leaders")
-    joined = texts.join(led, F.col("text_id") == F.col("led_id"), "left")
-    leader = lambda entry: F.coalesce(F.element_at("led", entry["hash"]), "text_id")
-    votes = F.transform("sketch", lambda entry: F.struct(entry["at"].alias("at"), leader(entry).alias("leader")))
+    led = shared.groupBy("text_id").agg(F.map_from_entries(F.collect_list(F.struct("hash", "leader"))).alias("led"))
+    joined = texts.join(led, "text_id", "left")
+    leader = lambda entry: F.coalesce(F.element_at("led", piece_of(entry)), "text_id")
+    votes = F.transform("sketch", lambda entry: F.struct(line_of(entry).alias("at"), leader(entry).alias("leader")))
+    # lines without a hash in the sketch, most of a long text's, see all votes
     voted = joined.select("text_id", "lines", votes.alias("votes"))
-    voted = voted.select("*", most_frequent(F.col("votes.leader")).alias("whole"))
+    voted = voted.select("*", followed(F.col("text_id"), F.col("votes.leader")).alias("whole"))
 
-    def outside(line: Column, at: Column) -> Column:
-        rest = F.filter("votes", lambda vote: vote["at"] != at)
-        enough = lambda rest: F.size(rest) >= OUTSIDE * F.size("votes")
-        own = lambda rest: F.when(enough(rest), most_frequent(rest["leader"])).otherwise(F.xxhash64(line["key"]))
-        return F.when(F.array_contains("votes.at", at), _let(rest, own)).otherwise(F.col("whole"))
+    def family(line: Column, at: Column) -> Column:
+        number = F.least(at, F.lit((1 << LINE_BITS) - 1))
+        rest = F.filter("votes", lambda vote: vote["at"] != number)
+        told = lambda rest: F.when(
+            F.size(rest) >= OUTSIDE * F.size("votes"), followed(F.col("text_id"), rest["leader"])
+        ).otherwise(F.xxhash64(line["key"]))
+        return F.when(F.array_contains("votes.at", number), _let(rest, told)).otherwise(F.col("whole"))
 
-    row = lambda line, at: F.struct(line["key"], line["leaf"], line["tokens"], outside(line, at).alias("family"))
+    row = lambda line, at: F.struct(line["key"], line["leaf"], line["tokens"], family(line, at).alias("family"))
     each = voted.select("text_id", F.explode(F.transform("lines", row)).alias("line"))
     return each.select("text_id", "line.key", "line.leaf", "line.tokens", "line.family")
 
 
 def recurring(rows: DataFrame, *keys: str, least: int | Column = LEAST_FAMILIES) -> DataFrame:
-    """Keys shared by enough families, one row each."""
-    shared = rows.select(*keys, "family").distinct().groupBy(*keys).agg(F.count("*").alias("families"))
-    return shared.where(F.col("families") >= least).select(*keys)
+    """Keys shared by enough families, one row each. ``rows`` may hold how many
+    texts each stands for, as ``texts``."""
+    number = F.sum("texts") if "texts" in rows.columns else F.count("*")
+    shared = rows.groupBy(*keys, "family").agg(number.alias("texts"))
+    shared = shared.groupBy(*keys).agg(F.count("*").alias("families"), F.sum("texts").alias("texts"))
+    by_chance = F.sqrt("texts") / 2
+    return shared.where((F.col("families") >= least) & (F.col("families") >= by_chance)).select(*keys)
 
 
 def generalised(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """Of lines whose leaf is crowded, those whose template with variable fields
     recurs: ``key``, one row each."""
-    wanted = staged(rows.select("key", "leaf", "family").distinct(), "crowded")
+    wanted = staged(rows.groupBy("key", "leaf", "family").agg(F.count("*").alias("texts")), "crowded")
     # one text is enough to read a line from
     holders = rows.groupBy("key").agg(F.min("text_id").alias("holder")).select("holder").distinct()
     holding = docs.join(staged(holders, "holders"), F.xxhash64("text") == F.col("holder"), "left_semi")
     read = holding.select(F.explode(masked_lines(F.col("text"))).alias("line")).select(_key(F.col("line")).alias("key"), "line")
     lines = wanted.select("key", "leaf").distinct().join(read.dropDuplicates(["key"]), "key")
     lines = staged(lines.select("key", "leaf", F.posexplode(F.split("line", " ")).alias("place", "token")), "tokens")
-    tokens = lines.join(wanted.select("key", "family"), "key")
+    tokens = lines.join(wanted.select("key", "family", "texts"), "key")
     constant = recurring(tokens, "leaf", "place", "token").withColumn("constant", F.lit(True))
     told = lines.join(constant, ["leaf", "place", "token"], "left")
     field = F.when(F.col("constant"), F.col("token")).otherwise(VARIABLE)
@@ -196,8 +217,8 @@ def generalised(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
 def recurring_lines(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """Keys of all lines whose template recurs across documents."""
-    least = F.when(F.col("tokens") < LEAST_TOKENS, SHORT_FAMILIES).when(F.col("tokens") > LONG_TOKENS, LONG_FAMILIES)
-    equal = staged(recurring(rows, "key", "tokens", least=least.otherwise(LEAST_FAMILIES)).select("key"), "recurring")
+    least = F.when(F.col("tokens") < LEAST_TOKENS, SHORT_FAMILIES).otherwise(LEAST_FAMILIES)
+    equal = staged(recurring(rows, "key", "tokens", least=least).select("key"), "recurring")
     open_rows = rows.where(F.col("tokens") >= LEAST_TOKENS).join(equal, "key", "left_anti")
     crowded = staged(recurring(open_rows, "leaf"), "leaves")
     return equal.union(generalised(docs, open_rows.join(crowded, "leaf", "left_semi")))
@@ -208,10 +229,10 @@ def _cleaned(docs: DataFrame) -> DataFrame:
     templates, and with ``n_lines`` and ``n_dropped``."""
     whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
     typed = docs.select(whole.alias("row"), F.col("text").cast("string").alias("text"))
-    rows = staged(lines_with_family(staged(parsed_texts(typed), "texts")), "lines")
+    rows = staged(lines_with_family(parsed_texts(typed)), "lines")
     drop = staged(recurring_lines(typed, rows), "dropped")
     # at most the lines of one text each, and both sides of the join are stored
-    held = rows.select("text_id", "key").join(drop, "key", "left_semi").distinct()
+    held = rows.select("text_id", "key").join(drop, "key", "left_semi")
     per_text = held.groupBy("text_id").agg(F.collect_set("key").alias("drop"))
     per_text = staged(per_text.withColumnRenamed("text_id", "dropped_from"), "drops")
     joined = typed.join(per_text, F.xxhash64("text") == F.col("dropped_from"), "left")
