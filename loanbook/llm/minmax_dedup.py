@@ -44,7 +44,7 @@ from loanbook.llm.texts import documents, staged, text_slices, with_texts
 BANDS = 32
 #: Permutations in a band, two signature values each.
 PER_BAND = 2
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 

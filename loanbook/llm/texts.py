@@ -14,7 +14,7 @@ from loanbook.sources.tables import staged
 __all__ = ["documents", "staged", "text_slices", "unit_hash", "with_texts"]
 
 #: A task works on this many bytes of text at a time, or on one longer text.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,3 +54,6 @@ def text_slices(
             size += length
         if start < batch.num_rows:
             yield batch.slice(start), texts.slice(start).to_pylist()
+        # workers are reused, and share an executor's memory with its JVM
+        del column, texts
+        pa.default_memory_pool().release_unused()
