@@ -18,8 +18,8 @@ line never tells where it belongs. Texts that are little else than a line count
 as one family there.
 
 A template recurs if enough families have it, however many documents there are:
-three, or half the square root of the number of different texts, as some of very
-many near copies have nothing else in common by chance. A line of few tokens
+three, or the square root of the number of different texts, as some of very many
+near copies have nothing else in common by chance. A line of few tokens
 needs many more; it is compared whole and takes no part in the tree.
 
 Only DataFrame functions are used. A text is parsed into one row of line keys;
@@ -185,7 +185,7 @@ def recurring(rows: DataFrame, *keys: str, least: int | Column = LEAST_FAMILIES)
     number = F.sum("texts") if "texts" in rows.columns else F.count("*")
     shared = rows.groupBy(*keys, "family").agg(number.alias("texts"))
     shared = shared.groupBy(*keys).agg(F.count("*").alias("families"), F.sum("texts").alias("texts"))
-    by_chance = F.sqrt("texts") / 2
+    by_chance = F.sqrt("texts")
     return shared.where((F.col("families") >= least) & (F.col("families") >= by_chance)).select(*keys)
 
 
@@ -227,7 +227,8 @@ def recurring_lines(docs: DataFrame, rows: DataFrame) -> DataFrame:
 def _cleaned(docs: DataFrame) -> DataFrame:
     """The documents (``row``) with their ``text`` less the lines of recurring
     templates, and with ``n_lines`` and ``n_dropped``."""
-    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    others = [F.col(f"`{name}`") for name in docs.columns if name != "text"]
+    whole = F.struct(*others, F.lit(None).cast("boolean").alias("text"))
     typed = docs.select(whole.alias("row"), F.col("text").cast("string").alias("text"))
     rows = staged(lines_with_family(parsed_texts(typed)), "lines")
     drop = staged(recurring_lines(typed, rows), "dropped")

@@ -205,7 +205,7 @@ def test_families_equal_those_of_plain_python(spark, seed):
     def least(line, found):
         short = len(line.split(" ")) < line_templates.LEAST_TOKENS
         texts = sum(map(len, found.values()))
-        return max(texts**0.5 / 2, line_templates.SHORT_FAMILIES if short else line_templates.LEAST_FAMILIES)
+        return max(texts**0.5, line_templates.SHORT_FAMILIES if short else line_templates.LEAST_FAMILIES)
 
     expected = {line for line, found in by_line.items() if len(found) >= least(line, found)}
     frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
