@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from loanbook import contract as c
-from loanbook.catalog.fixed import AWKWARD_NAME, KEYS, REFRESHED
+from loanbook.catalog.fixed import AWKWARD_NAME, KEYS, MONTH_ENDS, REFRESHED
 from loanbook.catalog.oracle import check
 
 CUSTOMER_TYPES = {
@@ -411,6 +411,7 @@ OVER_TABLES = {
 
 def oracle_sql() -> dict[str, str]:
     queries = {name: check(query) for name, query in OVER_TABLES.items()}
+    queries["kpis_backfill"] = _all([_daily(day.isoformat()) for day in MONTH_ENDS])
     queries["incremental_upsert"] = _all([_daily("2000-03-31"), _daily("2000-06-30")])
     queries["full_refresh"] = _all(
         [_refreshed(*summed, day) for day in ("2000-03-31", "2000-06-30") for summed in REFRESHED[2 if day < "2000-06" else 0 :]]

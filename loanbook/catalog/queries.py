@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from loanbook import Snapshot
 from loanbook import contract as c
-from loanbook.catalog.fixed import AWKWARD_NAME, KEYS, REFRESHED
+from loanbook.catalog.fixed import AWKWARD_NAME, KEYS, MONTH_ENDS, REFRESHED
 from loanbook.functions import casting
 from loanbook.functions.quality import customer_flags, loan_flags, payment_flags
 from loanbook.operators import checks, kpis, performance, profile, schedule, vintage
@@ -198,6 +198,12 @@ def incremental_upsert(book: Book) -> DataFrame:
     return _kpi_rounded(stored)
 
 
+def kpis_backfill(book: Book) -> DataFrame:
+    """Twelve month ends at once, with reference and cut on each of them."""
+    payments = silver.typed_payments(book.raw["payments"])
+    return _kpi_rounded(gold.kpis_backfill(tables.staged(book.loans, "loans"), payments, MONTH_ENDS))
+
+
 def export_readback(book: Book) -> DataFrame:
     mart = rounded(book.installment_mart).withColumn("nome", F.expr(AWKWARD_NAME))
     path = scratch_path(book.spark, "export")
@@ -517,6 +523,7 @@ QUERIES: dict[str, Callable[[Book], DataFrame]] = {
     "mart_credit_installments": lambda book: rounded(book.installment_mart),
     "mart_credit_loans": lambda book: rounded(book.loan_mart, 4),
     "mart_kpis_daily": lambda book: _kpi_rounded(book.daily_kpis),
+    "kpis_backfill": kpis_backfill,
     "kpi_default_rate": _single_kpi(_loan_kpis, "taxa_inadimplencia_contratos"),
     "kpi_par30": _single_kpi(_installment_kpis, "par30_valor_em_aberto"),
     "kpi_par90": _single_kpi(_installment_kpis, "par90_valor_em_aberto"),

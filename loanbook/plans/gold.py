@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanbook.operators import kpis, performance, schedule, vintage
+from loanbook.operators import history, kpis, performance, schedule, vintage
 from loanbook.operators.joins import lookup
 from loanbook.snapshot import Snapshot
 
@@ -98,6 +100,11 @@ def mart_kpis_daily(loans: DataFrame, installments: DataFrame, snapshot: Snapsho
     return kpis.daily_kpis(loans, installments, snapshot.reference)
 
 
+def kpis_backfill(loans: DataFrame, typed_payments: DataFrame, dates: list[dt.date]) -> DataFrame:
+    """The rows of ``mart_kpis_daily`` as of many dates, in one pass."""
+    return history.daily_kpis_of_dates(loans, typed_payments, dates)
+
+
 def portfolio_kpis(loans: DataFrame, installments: DataFrame, snapshot: Snapshot) -> DataFrame:
     """The rows of ``mart_kpis_daily`` where the two marts are not stored."""
     return kpis.daily_kpis_in_one_pass(loans, installments, snapshot.reference)
