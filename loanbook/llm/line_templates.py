@@ -236,7 +236,8 @@ def _cleaned(docs: DataFrame) -> DataFrame:
     held = rows.select("text_id", "key").join(drop, "key", "left_semi")
     per_text = held.groupBy("text_id").agg(F.collect_set("key").alias("drop"))
     per_text = staged(per_text.withColumnRenamed("text_id", "dropped_from"), "drops")
-    joined = typed.join(per_text, F.xxhash64("text") == F.col("dropped_from"), "left")
+    # the lists grow with the documents: they meet by a shuffle at every size
+    joined = typed.join(per_text.hint("merge"), F.xxhash64("text") == F.col("dropped_from"), "left")
     parts = line_parts(F.col("text"))
     left = F.filter(parts, lambda line: ~F.array_contains("drop", _key(masked(line))))
     changed = F.col("drop").isNotNull()
