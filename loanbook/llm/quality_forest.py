@@ -230,11 +230,13 @@ def calibrate(bins: list[tuple[int, int, int]], max_good_loss: float) -> float:
 
 
 def fit_sample(known: DataFrame, fit_rows: int, seed: int) -> DataFrame:
-    """Counts and quality of different labelled documents, at most ``fit_rows``:
-    each task sends no more than that, and no more reach the driver."""
+    """Counts and quality of different labelled documents, at most ``fit_rows``.
+    Most rows that are not among them stay where they stand; then comes the
+    bound itself."""
     different = known.select("doc_id", *COUNTS, "quality").distinct()
     drawn = different.withColumn("draw", unit_hash("doc_id", *COUNTS, seed=seed))
-    return drawn.orderBy("draw", "doc_id", *COUNTS, "quality").limit(fit_rows).select(*COUNTS, "quality")
+    near = drawn.where(F.col("draw") < 1.2 * fit_rows / max(1, different.count()))
+    return near.orderBy("draw", "doc_id", *COUNTS, "quality").limit(fit_rows).select(*COUNTS, "quality")
 
 
 def judge(

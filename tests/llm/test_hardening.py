@@ -94,7 +94,7 @@ def test_repeated_labelled_rows_do_not_crowd_the_sample(spark):
     copies = [(1, *([7] * len(quality_forest.COUNTS)), 1)] * 20_000
     others = [(i, *([i % 50] * len(quality_forest.COUNTS)), i % 2) for i in range(2, 500)]
     known = spark.createDataFrame(copies + others, fields)
-    assert quality_forest.fit_sample(known, 100, 1).count() == 100
+    assert 80 <= quality_forest.fit_sample(known, 100, 1).count() <= 100
     assert quality_forest.fit_sample(known, 20_000, 1).count() == 1 + len(others)
 
 
