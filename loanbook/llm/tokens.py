@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -19,7 +20,13 @@ import numpy as np
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Words a task remembers; beyond that it starts over with the words it meets.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
+#: New words tokenized at once; what the tokenizer builds for a word takes a
+#: hundred times what is kept of it.
+LEARNED_AT_ONCE = 2_000
+#: Words looked up at once, and bytes of text split into words at once.
+WORDS_AT_ONCE = 100_000
+PART_BYTES = 1 << 18
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -42,6 +49,19 @@ def split(text: bytes | None) -> list[bytes]:
     return _STOPS.sub(rb" \1", text.lower()).split()
 
 
+_SPACE = re.compile(rb"[ \t-\r]")
+
+
+def parts(text: bytes | None, limit: int = PART_BYTES) -> Iterator[bytes | None]:
+    """A text cut behind white space into parts of about so many bytes; a word
+    is never cut, however long it is."""
+    begin = 0
+    while text and len(text) - begin > limit and (space := _SPACE.search(text, begin + limit)):
+        yield text[begin : space.end()]
+        begin = space.end()
+    yield text[begin:] if begin else text
+
+
 class Numbers(dict):
     """Numbers words as they are first asked for."""
 
@@ -98,13 +118,16 @@ class WordIds:
 
     def learn(self, words: list[bytes]) -> None:
         """Store the ids of new words, in the order of their numbers."""
-        plain = [word.decode() for word in words if word[:1] != b"\xff"]
-        found = iter(self.tokenizer.encode_batch_fast(plain, add_special_tokens=False))
-        ids = [[self.special[word[1:]]] if word[:1] == b"\xff" else next(found).ids for word in words]
-        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), dtype=np.uint16, count=int(lengths.sum()))
-        self.ids = np.concatenate([self.ids, flat])
-        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(lengths)])
+        flat, lengths = [self.ids], []
+        for at in range(0, len(words), LEARNED_AT_ONCE):
+            some = words[at : at + LEARNED_AT_ONCE]
+            plain = [word.decode() for word in some if word[:1] != b"\xff"]
+            found = iter(self.tokenizer.encode_batch_fast(plain, add_special_tokens=False))
+            ids = [[self.special[word[1:]]] if word[:1] == b"\xff" else next(found).ids for word in some]
+            lengths += map(len, ids)
+            flat.append(np.fromiter(chain.from_iterable(ids), dtype=np.uint16))
+        self.ids = np.concatenate(flat)
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(lengths, dtype=np.int64)])
 
     def of_texts(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and where each text begins, with the
@@ -112,18 +135,35 @@ class WordIds:
         if len(self.place) > REMEMBERED:
             self.forget()
         place = self.place
+        found: list[np.ndarray] = []
+        ends = [np.zeros(1, dtype=np.int64)]
         numbers: list[int] = []
-        ends = [0]
+        closed: list[int] = []
+        total = 0
         for text in texts:
-            numbers += [place[word] for word in self.words(text)]
-            ends.append(len(numbers))
-        if place.new:
-            self.learn(place.new)
-            place.new = []
+            for part in parts(text):
+                if len(numbers) > WORDS_AT_ONCE:
+                    ids, after = self.looked_up(numbers)
+                    found.append(ids)
+                    ends.append(total + after[np.array(closed, dtype=np.int64)])
+                    total += len(ids)
+                    numbers, closed = [], []
+                numbers += [place[word] for word in self.words(part)]
+            closed.append(len(numbers))
+        ids, after = self.looked_up(numbers)
+        ends.append(total + after[np.array(closed, dtype=np.int64)])
+        return np.concatenate([*found, ids]), np.concatenate(ends)
+
+    def looked_up(self, numbers: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of numbered words in a row, and where each word begins, with the
+        total at the end; words not met before are learned first."""
+        if self.place.new:
+            self.learn(self.place.new)
+            self.place.new = []
         words = np.array(numbers, dtype=np.int64)
         first = self.start[words]
         lengths = self.start[words + 1] - first
         after = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
         # place k of the result lies k - after[w] places into its word w
         places = np.arange(after[-1]) + np.repeat(first - after[:-1], lengths)
-        return self.ids[places], after[ends]
+        return self.ids[places], after

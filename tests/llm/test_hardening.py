@@ -9,7 +9,7 @@ import tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from loanbook.llm import language_ppm, line_templates, minmax_dedup, mixing, packing, quality_forest
+from loanbook.llm import language_ppm, line_templates, minmax_dedup, mixing, packing, quality_forest, tokens
 from loanbook.llm.tokens import tokenizer_path
 from tests.llm.test_corpus_operators import prose
 
@@ -228,3 +228,25 @@ def test_mixed_copies_keep_their_columns(spark):
 def test_pieces_cut_within_a_character_are_rated():
     sample = [("fr", ("é" * 40 + " été ").encode()[: 60 + i]) for i in range(8)]
     assert language_ppm.rate_limit([("fr", text * 2) for _, text in sample]) > 0
+
+
+def test_long_texts_are_looked_up_in_parts(monkeypatch):
+    plain = tokenizers.Tokenizer.from_file(tokenizer_path())
+    rng = random.Random(9)
+    marks = ["café au", "end.", "Stop, go", "<|endoftext|>", "x" * 300, "tab\there", " wide"]
+    long = " ".join(rng.choices([*english(rng).split(), *marks], k=3000)) + "\nlast."
+    texts = [long, None, "", "One. word", long[:777], "y" * 5000]
+    encoded = [None if text is None else text.encode() for text in texts]
+    for part, words, learned in ((64, 50, 7), (1 << 18, 100_000, 2_000)):
+        monkeypatch.setattr(tokens, "LEARNED_AT_ONCE", learned)
+        monkeypatch.setattr(tokens, "WORDS_AT_ONCE", words)
+        monkeypatch.setattr(tokens.parts, "__defaults__", (part,))
+        assert b"".join(tokens.parts(encoded[0])) == encoded[0]
+        ids, ends = tokens.WordIds().of_texts(encoded)
+        for at, text in enumerate(texts):
+            expected = plain.encode(text or "", add_special_tokens=False).ids
+            assert ids[ends[at] : ends[at + 1]].tolist() == expected
+        assert len(ends) == len(texts) + 1
+    assert len(list(tokens.parts(encoded[0], 64))) > 100
+    ids, ends = tokens.WordIds().of_texts([])
+    assert len(ids) == 0 and ends.tolist() == [0]
