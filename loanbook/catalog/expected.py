@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from loanbook import contract as c
-from loanbook.catalog.fixed import AWKWARD_NAME, KEYS, MONTH_ENDS, REFRESHED
+from loanbook.catalog.fixed import AWKWARD_NAME, KEYS, MONTH_ENDS, REFRESHED, TOP_COLUMNS, TOP_VALUES
 from loanbook.catalog.oracle import check
 
 CUSTOMER_TYPES = {
@@ -403,6 +403,13 @@ OVER_TABLES = {
             ("payments", "atraso_dias"),
         ]
     ),
+    "profile_top_values": _all(
+        [
+            f"(select '{table}' as tabela, '{name}' as coluna, cast({name} as varchar) as valor, count(*) as frequencia "
+            f"from stg_{table} where {name} is not null group by {name} order by count(*) desc, {name} limit {TOP_VALUES})"
+            for table, name in TOP_COLUMNS
+        ]
+    ),
     "profile_value_counts": _frequencies(
         [("customers", "estado"), ("loans", "canal"), ("loans", "status_reportado")]
     ),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from loanbook import Snapshot
 from loanbook import contract as c
-from loanbook.catalog.fixed import AWKWARD_NAME, KEYS, MONTH_ENDS, REFRESHED
+from loanbook.catalog.fixed import AWKWARD_NAME, KEYS, MONTH_ENDS, REFRESHED, TOP_COLUMNS, TOP_VALUES
 from loanbook.functions import casting
 from loanbook.functions.quality import customer_flags, loan_flags, payment_flags
 from loanbook.operators import checks, kpis, performance, profile, schedule, vintage
@@ -488,6 +488,19 @@ def profile_value_counts(book: Book) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def profile_top_values(book: Book) -> DataFrame:
+    parts = [
+        profile.top_values(book.cleaned[table], column, TOP_VALUES).select(
+            F.lit(table).alias("tabela"),
+            F.lit(column).alias("coluna"),
+            F.col("valor").cast("string").alias("valor"),
+            "frequencia",
+        )
+        for table, column in TOP_COLUMNS
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 QUERIES: dict[str, Callable[[Book], DataFrame]] = {
     "csv_text_source": csv_text_source,
     "csv_typed_source": csv_typed_source,
@@ -558,6 +571,7 @@ QUERIES: dict[str, Callable[[Book], DataFrame]] = {
     "profile_nulls": profile_nulls,
     "profile_describe": profile_describe,
     "profile_value_counts": profile_value_counts,
+    "profile_top_values": profile_top_values,
 }
 
 

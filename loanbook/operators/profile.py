@@ -11,6 +11,8 @@ from loanbook.operators.quantiles import exact_quantiles
 from loanbook.sources.tables import staged
 
 QUARTILES = [0.25, 0.5, 0.75]
+#: Hash buckets that bound how often a value can occur.
+BUCKETS = 1 << 16
 
 
 def _per_column(rows: DataFrame, columns: list[str], measure, value: str) -> DataFrame:
@@ -60,6 +62,34 @@ def value_counts(rows: DataFrame, column: str) -> DataFrame:
     )
 
 
+def top_values(rows: DataFrame, column: str, n: int, buckets: int = BUCKETS) -> DataFrame:
+    """The first ``n`` rows of ``value_counts``, for columns of very many values.
+
+    Rows are counted per hash bucket, which shuffles a bounded number of counts a
+    task. A value occurs at most as often as its bucket, so once the values of
+    the ``n`` fullest buckets are counted, buckets with fewer rows than the n-th
+    of those values cannot hold any of the first ``n``; values of the others are
+    counted in full. Where all values are about equally frequent that is every
+    value, as in ``value_counts``: the result is exact in each case. NULL is no
+    value; an empty column gives no rows.
+    """
+    # zeros of either sign are one value and must meet in one bucket
+    same = F.col(column) + F.lit(0.0) if dict(rows.dtypes)[column] in ("double", "float") else F.col(column)
+    values = rows.select(F.col(column).alias("valor"), F.pmod(F.xxhash64(same), F.lit(buckets)).alias("_bucket"))
+    values = values.where("valor is not null")
+    # one row a bucket, so never more of them than buckets
+    filled = staged(values.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows")), "filled-buckets")
+
+    def counted(chosen: DataFrame) -> DataFrame:
+        within = values.join(F.broadcast(chosen.select("_bucket")), "_bucket", "left_semi")
+        counts = within.groupBy("valor").agg(F.count(F.lit(1)).alias("frequencia"))
+        return counts.orderBy(F.desc("frequencia"), "valor").limit(n)
+
+    fullest = filled.orderBy(F.desc("_rows"), "_bucket").limit(n)
+    reached, least = counted(fullest).agg(F.count(F.lit(1)), F.min("frequencia")).first()
+    return counted(filled.where(F.col("_rows") >= (least if reached == n else 0)))
+
+
 def _number(name: str) -> Column:
     """A numeric column as double, with NaN as a missing value."""
     value = F.col(name).cast("double")

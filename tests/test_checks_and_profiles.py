@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from loanbook.operators import checks, profile, quantiles
 
@@ -72,3 +73,32 @@ def test_profiles(spark):
     assert {row.v for row in profile.distinct_values(rows, "v").collect()} == {"a", "b", "c", None}
     assert [tuple(row) for row in profile.value_counts(rows, "v").collect()] == [("b", 3), ("a", 2), ("c", 1)]
     assert [tuple(row) for row in profile.null_counts(rows, ["k", "v"]).collect()] == [("k", 0), ("v", 1)]
+
+
+@pytest.mark.parametrize("buckets", [1, 5, 64, profile.BUCKETS])
+def test_top_values_are_the_first_of_all(spark, buckets):
+    draw = random.Random(buckets)
+    texts = [f"v{int(draw.paretovariate(0.7)) % 4000}" for _ in range(5000)] + [None] * 900
+    rows = spark.createDataFrame([(text,) for text in texts], "text string")
+    everything = [tuple(row) for row in profile.value_counts(rows, "text").collect()]
+    for n in (1, 7, 40, len(everything) + 3):
+        found = [tuple(row) for row in profile.top_values(rows, "text", n, buckets).collect()]
+        assert found == everything[:n]
+
+
+def test_top_values_of_ties_zeros_and_nothing(spark):
+    ties = spark.createDataFrame([(f"{i:03}",) for i in range(300)], "text string")
+    assert [row.valor for row in profile.top_values(ties, "text", 3).collect()] == ["000", "001", "002"]
+    zeros = spark.createDataFrame([(0.0,), (-0.0,), (1.0,), (1.0,), (0.0,)], "x double")
+    assert [tuple(row) for row in profile.top_values(zeros, "x", 1).collect()] == [(0.0, 3)]
+    assert profile.top_values(ties.where("text is null"), "text", 3).collect() == []
+
+
+def test_top_values_count_few_values_in_full(spark):
+    """Only buckets that could hold one of the first values are counted."""
+    rows = spark.range(200_000).select(F.when(F.col("id") % 4 == 0, F.lit(-1)).otherwise(F.col("id")).alias("x"))
+    hot = rows.unionByName(spark.range(3000).select((F.col("id") % 3 - 9).alias("x")))
+    top = profile.top_values(hot, "x", 4)
+    assert [tuple(row) for row in top.collect()] == [(-1, 50_000), (-9, 1000), (-8, 1000), (-7, 1000)]
+    plan = top._jdf.queryExecution().optimizedPlan().toString()
+    assert "_rows#" in plan and ">= 1000" in plan
