@@ -52,10 +52,22 @@ class Book:
     @cached_property
     def cleaned(self) -> dict[str, DataFrame]:
         """The cleaned tables, stored: several tables build on each of them, and
-        the latest row of a key is looked for once only."""
-        made = {"customers": self.customers, "loans": self.loans, "payments": self.payments}
+        the latest row of a key is looked for once only. Of payments, what
+        installments are matched with."""
+        made = {"customers": self.customers, "loans": self.loans, "payments": self._matched_payments}
         return {name: tables.staged(rows, name) for name, rows in made.items()}
 
+    @property
+    def _matched_payments(self) -> DataFrame:
+        return self.payments.select(schedule.MATCHED_COLUMNS)
+
+    def of_snapshot(self, snapshot: Snapshot) -> Book:
+        """The same tables as of another snapshot. Customers and loans hold no
+        date of it and are not stored anew."""
+        other = Book(self.spark, self.sf_dir, snapshot)
+        other.cleaned = self.cleaned | {"payments": tables.staged(other._matched_payments, "payments")}
+        return other
+
     @cached_property
     def installments(self) -> DataFrame:
         return gold.int_installments(self.cleaned["loans"], self.cleaned["payments"], self.snapshot)
@@ -193,9 +205,10 @@ def bronze_partition_counts(book: Book) -> DataFrame:
 def incremental_upsert(book: Book) -> DataFrame:
     """Daily indicators of two snapshots, the second run twice."""
     path = scratch_path(book.spark, "kpis-daily")
-    for snapshot in (EARLIER, SNAPSHOT, SNAPSHOT):
-        of_day = Book(book.spark, book.sf_dir, snapshot).daily_kpis
-        stored = tables.upsert(of_day, path, c.DAILY_KEYS)
+    earlier = Book(book.spark, book.sf_dir, EARLIER)
+    later = earlier.of_snapshot(SNAPSHOT)
+    for of_day in (earlier, later, later):
+        stored = tables.upsert(of_day.daily_kpis, path, c.DAILY_KEYS)
     return _kpi_rounded(stored)
 
 

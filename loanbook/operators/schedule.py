@@ -36,6 +36,8 @@ SCHEDULE_COLUMNS = [
     "numero_parcela",
     "data_vencimento",
 ]
+#: What is read of a payment.
+MATCHED_COLUMNS = ["loan_id", "data_vencimento", "data_pagamento", "valor_parcela", "valor_pago", "atraso_dias"]
 PAYMENT_COLUMNS = [
     "data_pagamento",
     "valor_parcela_informada",
