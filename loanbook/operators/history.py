@@ -26,6 +26,7 @@ from loanbook import contract as c
 from loanbook.functions import credit
 from loanbook.operators.performance import customer_contracts
 from loanbook.operators.schedule import installment_schedule
+from loanbook.sources.tables import staged
 
 #: Dates in one pass: a bit each, in a mask of 64 bits.
 MOST_DATES = 60
@@ -73,12 +74,14 @@ def installment_spans(loans: DataFrame, payments: DataFrame, dates: list[dt.date
     ``loan_id``, amounts, whether paid on time, and ``_from``, ``_until``, with
     the places ``_due``, ``_late30`` and ``_late90`` from which they are due and
     so many days late."""
-    versions = payment_versions(payments, dates)
-    installments = installment_schedule(loans).select("loan_id", "data_vencimento", "pmt_teorica")
     keys = ["loan_id", "data_vencimento"]
-    matched = installments.join(
-        versions.select(*keys, "data_pagamento", "valor_parcela", "valor_pago", "_from", "_until"), keys
+    versions = payment_versions(payments, dates).select(
+        *keys, "data_pagamento", "valor_parcela", "valor_pago", "_from", "_until"
     )
+    # read for the match and for the dates without payment
+    versions = staged(versions, "payment-versions")
+    installments = installment_schedule(loans).select("loan_id", "data_vencimento", "pmt_teorica")
+    matched = installments.join(versions, keys)
     unpaid = _spans_without_payment(installments, versions, len(dates))
     rows = matched.unionByName(unpaid, allowMissingColumns=True)
     due = credit.amount_due(F.col("valor_parcela"), F.col("pmt_teorica"))
@@ -138,7 +141,8 @@ def defaulted_loans(spans: DataFrame, number: int) -> DataFrame:
 
 
 def _kpis_of(loans: DataFrame, payments: DataFrame, dates: list[dt.date]) -> DataFrame:
-    spans = installment_spans(loans, payments, dates)
+    # read for the sums and for the loans in default
+    spans = staged(installment_spans(loans, payments, dates), "installment-spans")
     shares = customer_contracts(loans).agg(
         F.sum("qtd_contratos_cliente").alias("loans"),
         credit.ratio(F.count_if("cliente_recorrente"), F.count(F.lit(1))).alias("recurring"),
