@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanbook.llm.texts import documents, text_slices, with_texts
-from loanbook.llm.tokens import END_ID, word_ids
+from loanbook.llm.texts import documents, give_back, text_slices, with_texts
+from loanbook.llm.tokens import END_ID, forget_words, word_ids
 
 CAPACITY = 2048
 #: Documents whose pieces are packed together, on average.
@@ -151,6 +151,9 @@ def pack(
     groups = max(1, -(-docs.count() // group_documents))
 
     def pack_group(rows: pa.Table) -> pa.Table:
+        # the process may be one that tokenized and waited since
+        forget_words()
+        give_back()
         rows = rows.sort_by(
             [("length", "descending"), ("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")]
         )

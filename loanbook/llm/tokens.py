@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 from collections.abc import Iterator
 from itertools import chain
 
@@ -87,6 +88,13 @@ def word_ids(path: str | None = None) -> WordIds:
     return kept[path]
 
 
+def forget_words() -> None:
+    """Drop the words this worker process remembers, and let its tokenizers stay.
+    For work that follows on tokens and needs no words."""
+    for kept in vars(sys.modules.get("tokenizers", object)).get("_kept_word_ids", {}).values():
+        kept.forget()
+
+
 class WordIds:
     """Ids of texts by a tokenizer file whose tokens never span white space."""
 
