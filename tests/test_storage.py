@@ -22,6 +22,38 @@ def test_spanning_records_are_parsed_once(spark, tmp_path):
     assert sorted(map(tuple, rows.collect())) == [("1", "x\ny"), ("2", "z")]
 
 
+def test_days_written_at_once(spark, tmp_path):
+    raw = spark.createDataFrame(
+        [("1", "2000-01-01"), ("2", "2000-01-02"), ("2", "2000-01-02"), (None, "2000-01-02"), ("4", "2000-01-04"), ("5", None)],
+        f"a string, {c.INGESTION_COLUMN} string",
+    )
+    days, once, singly = ["2000-01-01", "2000-01-02", "2000-01-03"], str(tmp_path / "once"), str(tmp_path / "singly")
+    for day in days:
+        bronze.write_bronze(raw.where(F.col(c.INGESTION_COLUMN) == day), singly, "t", day)
+    # the third day held rows; it is replaced by nothing, as a rerun does
+    bronze.write_bronze(raw.select("a"), once, "t", days[2])
+    bronze.write_bronze_days(raw, once, "t", days)
+    found, expected = (sorted(map(str, bronze.read_bronze(spark, base, "t").collect())) for base in (once, singly))
+    assert found == expected and len(found) == 4
+    assert not glob.glob(f"{once}/_*")
+
+
+def test_another_snapshot_shares_customers_and_loans(spark):
+    earlier = queries.Book(spark, SF_DIR, queries.EARLIER)
+    later = earlier.of_snapshot(queries.SNAPSHOT)
+    assert later.cleaned["loans"] is earlier.cleaned["loans"] and later.cleaned["customers"] is earlier.cleaned["customers"]
+    expected = queries.Book(spark, SF_DIR, queries.SNAPSHOT)
+    for book in (later, expected):
+        assert "payment_id" not in book.cleaned["payments"].columns
+    found, expected = (sorted(map(str, queries._kpi_rounded(book.daily_kpis).collect())) for book in (later, expected))
+    assert found == expected and len(found) == 6
+
+
+def test_many_dates_match_payments_once(spark):
+    rows = queries.kpis_backfill(queries.Book(spark, SF_DIR))
+    assert "row_number" not in plan(rows) and "lead(" not in plan(rows)
+
+
 def test_stored_tables_are_compressed_well(spark, tmp_path):
     tables.write_table(spark.range(9), str(tmp_path / "t"))
     assert glob.glob(f"{tmp_path}/t/*.zstd.parquet")
