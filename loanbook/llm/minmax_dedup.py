@@ -8,14 +8,18 @@ candidates, and links are confirmed on the full shingle sets.
 Copies do not multiply the work: documents with equal sets form a class, and
 classes alone are compared. Nor do large groups of near copies. A shingle that
 no other candidate has can be shared with none, so the number of those bounds
-what a document can share, and most pairs of far copies need no comparison. The
-member of a bucket with the fewest such shingles, the one most like what its
-group was copied from, leads it: others are compared with it, found links merge
-into components, and pairs within one need no comparison any more. Then all
-pairs that share a bucket, lie in different components and may reach the
-similarity are compared, so no link is lost. What two sets can share is bounded
-by what each lacks of their leader: missing shingles, hashed to bits, are missed
-by both together.
+what a document can share, and most pairs of far copies need no comparison. Sets
+of a bucket are told apart by size, in kinds so wide that linked sets are of one
+kind or of two adjacent ones. The member of a kind with the fewest such shingles,
+the one most like what its group was copied from, leads it: others of its kind
+and the next are compared with it, found links merge into components, and pairs
+within one need no comparison any more. Then all pairs that share a bucket, lie
+in different components and may reach the similarity are compared, so no link is
+lost. What two sets can share is bounded by what each lacks of the leader of the
+smaller one's kind and by what each holds besides: missing shingles, hashed to
+bits, are missed by both together, and bits that one alone has are not shared.
+A part of a long text, which has no shingle to itself either, so cannot lead those
+it tells nothing of.
 
 Defined results: A-Z are lower-cased, words are separated by white space as in
 ``WORD``; a text with fewer words than a shingle is one shingle; a text without
@@ -31,6 +35,7 @@ name in a component holds the smallest id in it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -185,14 +190,37 @@ def _may_link(percent: int, a: str, b: str) -> Column:
 
 def _may_link_by_leader(percent: int, a: str, b: str) -> Column:
     """The same for two sets compared with one leader: within it they share no
-    more than it keeps without the shingles that either lacks."""
+    more than it keeps without the shingles that either lacks, and besides no
+    more than one has without those whose bits the other has not."""
     lacking = sum(F.bit_count(F.col(f"{a}.lacks{i}").bitwiseOR(F.col(f"{b}.lacks{i}"))) for i in range(WORDS))
     within = F.least(F.col(f"{a}.leader_size") - lacking, F.col(f"{a}.inside"), F.col(f"{b}.inside"))
-    return _enough(within + F.least(f"{a}.outside", f"{b}.outside"), percent, a, b)
 
+    def common(x: str, y: str) -> Column:
+        bits = [(F.col(f"{x}.besides{i}"), F.col(f"{y}.besides{i}")) for i in range(WORDS)]
+        return F.col(f"{x}.besides") - sum(F.bit_count(own.bitwiseAND(F.bitwise_not(other))) for own, other in bits)
 
-#: Shingles a set lacks of its leader are hashed to so many words of 64 bits.
+    outside = F.least(f"{a}.outside", f"{b}.outside", common(a, b), common(b, a))
+    return _enough(within + outside, percent, a, b)
+
+
+#: Shingles a set lacks of its leader, and those it holds besides, are hashed to
+#: so many words of 64 bits.
 WORDS = 4
+#: In kinds of so many members all are compared with the leader, not only those
+#: it may be linked with: pairs of members never compared cannot be ruled out.
+CROWD = 32
+
+
+def _kind(percent: int) -> Column:
+    """A whole number by ``size``. Linked sets differ in it by one at most; kinds
+    are a little wider than that needs, for logarithms are rounded."""
+    step = 1.001 * max(math.log(100 / percent), 0.01)
+    return F.floor(F.log("size") / step)
+
+
+def _under(leader_kind: str, kind: str) -> Column:
+    """Whether a leader's kind is that of a member or the next smaller one."""
+    return (F.col(kind) - F.col(leader_kind)).isin(0, 1)
 
 
 def _bits(numbers: Column, word: int) -> Column:
@@ -204,11 +232,14 @@ def _bits(numbers: Column, word: int) -> Column:
 
 
 def profiles(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (leader a, member b) with what they share and what b lacks of a."""
-    lacking = F.array_except("shingles_a", "shingles_b")
+    """Pairs (leader a, member b) with what they share, what b lacks of a and
+    what b holds besides."""
+    lacking, besides = F.array_except("shingles_a", "shingles_b"), F.array_except("shingles_b", "shingles_a")
     return _with_sets(pairs, sets).select(
-        "a", "b", "both", "either", *[_bits(lacking, i).alias(f"lacks{i}") for i in range(WORDS)]
-    )
+        "a", "b", "both", "either",
+        *[_bits(lacking, i).alias(f"lacks{i}") for i in range(WORDS)],
+        *[_bits(besides, i).alias(f"besides{i}") for i in range(WORDS)],
+    )
 
 
 def shareable(sets: DataFrame) -> DataFrame:
@@ -234,15 +265,16 @@ def class_links(docs: DataFrame, buckets: DataFrame, size: int, percent: int) ->
     sets = shingle_sets(texts, size).select(F.struct("low", "set_name").alias("doc_id"), "shingles")
     sets = staged(sets.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "shingles")
     # a set that shares too little of itself is linked with nothing
-    bounds = shareable(sets).where(100 * F.col("open") >= percent * F.col("size"))
+    bounds = shareable(sets).where(100 * F.col("open") >= percent * F.col("size")).withColumn("kind", _kind(percent))
     members = staged(members.join(bounds, "doc_id"), "members")
 
     alone = (1 - F.col("open") / F.col("size")).alias("alone")
-    first = F.min(F.struct(alone, "doc_id", "size", "open"))
-    leaders = staged(members.groupBy("key").agg(first.alias("lead")).select("key", "lead.*"), "leaders")
+    first = F.min(F.struct(alone, -F.col("size"), "doc_id", "size", "open")).alias("lead")
+    led_by = members.groupBy("key", "kind").agg(first, F.count(F.lit(1)).alias("n"))
+    leaders = staged(led_by.select("key", "kind", "n", "lead.doc_id", "lead.size", "lead.open"), "leaders")
     m, lead = members.alias("m"), leaders.alias("lead")
-    led = (F.col("m.key") == F.col("lead.key")) & (F.col("m.doc_id") != F.col("lead.doc_id"))
-    met = m.join(lead, led & _may_link(percent, "m", "lead"))
+    led = (F.col("m.key") == F.col("lead.key")) & _under("lead.kind", "m.kind") & (F.col("m.doc_id") != F.col("lead.doc_id"))
+    met = m.join(lead, led & ((F.col("lead.n") >= CROWD) | _may_link(percent, "m", "lead")))
     pairs = met.select(F.col("lead.doc_id").alias("a"), F.col("m.doc_id").alias("b")).distinct()
     compared = staged(profiles(staged(pairs, "pairs"), sets), "compared")
     links = staged(compared.where(_linked(percent)).select("a", "b"), "links")
@@ -251,26 +283,35 @@ def class_links(docs: DataFrame, buckets: DataFrame, size: int, percent: int) ->
     a, b = placed.alias("a"), placed.alias("b")
     apart = (F.col("a.component") != F.col("b.component")) & (F.col("a.doc_id") < F.col("b.doc_id"))
     possible = _may_link(percent, "a", "b") & _may_link_by_leader(percent, "a", "b")
-    rest = a.join(b, (F.col("a.key") == F.col("b.key")) & apart & possible)
+    # the smaller one's kind has the leader by which both are bounded
+    led = (F.col("a.leader_kind") == F.col("b.leader_kind")) & (F.col("a.leader_kind") == F.least("a.kind", "b.kind"))
+    rest = a.join(b, (F.col("a.key") == F.col("b.key")) & led & apart & possible)
     pairs = staged(rest.select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b")).distinct(), "pairs")
     more = _with_sets(pairs, sets).where(_linked(percent)).select("a", "b")
     return components(links.union(more))
 
 
 def _profiled(members: DataFrame, leaders: DataFrame, compared: DataFrame) -> DataFrame:
-    """Members with their bucket's leader's size, how much of that leader
-    they hold, at most, and how many open shingles besides, at most."""
-    lead = leaders.select("key", F.col("doc_id").alias("leader"), F.col("size").alias("leader_size"))
+    """Members with the size of each leader they are under, how much of that
+    leader they hold, at most, and how many open shingles and how many of all
+    they hold besides, at most."""
+    lead = leaders.select(
+        "key", F.col("kind").alias("leader_kind"), F.col("doc_id").alias("leader"), F.col("size").alias("leader_size")
+    )
     told = compared.drop("either").withColumnsRenamed({"a": "leader", "b": "doc_id"})
-    rows = members.join(lead, "key").join(told, ["leader", "doc_id"], "left")
+    rows = members.join(lead, "key").where(_under("leader_kind", "kind")).join(told, ["leader", "doc_id"], "left")
     known, own = F.col("both").isNotNull(), F.col("doc_id") == F.col("leader")
     inside = F.when(own, F.col("size")).when(known, F.col("both").cast("long")).otherwise(F.col("open"))
     # those a set has alone lie outside the leader: open ones besides are the rest
     outside = F.when(own, 0).when(known, F.col("open") - F.col("both")).otherwise(F.col("open"))
+    # those of a set never compared may have any bit, and take none away
+    besides = F.when(own, 0).when(known, F.col("size") - F.col("both")).otherwise(F.col("open") + 64 * WORDS)
+    none, every = F.lit(0).cast("long"), F.lit(-1).cast("long")
     return rows.select(
-        "key", "doc_id", "size", "open", "leader_size", inside.alias("inside"),
-        outside.cast("long").alias("outside"),
-        *[F.coalesce(f"lacks{i}", F.lit(0).cast("long")).alias(f"lacks{i}") for i in range(WORDS)],
+        "key", "kind", "leader_kind", "doc_id", "size", "open", "leader_size", inside.alias("inside"),
+        outside.cast("long").alias("outside"), besides.cast("long").alias("besides"),
+        *[F.coalesce(f"lacks{i}", none).alias(f"lacks{i}") for i in range(WORDS)],
+        *[F.when(own, none).otherwise(F.coalesce(f"besides{i}", every)).alias(f"besides{i}") for i in range(WORDS)],
     )
 
 

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from loanbook.llm import language_ppm, line_templates, minmax_dedup, mixing, packing, quality_forest, tokens
+from loanbook.llm.texts import staged
 from loanbook.llm.tokens import tokenizer_path
+from tests.llm.cases import linked_components
 from tests.llm.test_corpus_operators import prose
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -250,3 +252,26 @@ def test_long_texts_are_looked_up_in_parts(monkeypatch):
     assert len(list(tokens.parts(encoded[0], 64))) > 100
     ids, ends = tokens.WordIds().of_texts([])
     assert len(ids) == 0 and ends.tolist() == [0]
+
+
+def test_a_part_of_a_text_does_not_lead_its_copies(spark, monkeypatch):
+    """A part has no shingle to itself, as the whole text has none, but tells
+    little of far copies; compared through it, nearly all pairs of them remain."""
+    draw = random.Random(5)
+    words = [f"w{i}" for i in range(150)]
+    texts = {0: " ".join(words[:90]), 1: " ".join(words)}
+    for doc in range(2, 260):
+        changed = set(draw.sample(range(3, 147, 6), 9))
+        texts[doc] = " ".join(f"x{i}" if i in changed else word for i, word in enumerate(words))
+    compared = []
+
+    def watched(rows, name):
+        stored = staged(rows, name)
+        if name == "pairs":
+            compared.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(minmax_dedup, "staged", watched)
+    found = minmax_dedup.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), 5, 80)
+    assert {row.doc_id: (row.n_shingles, row.component_id) for row in found.collect()} == linked_components(texts, 5, 80)
+    assert compared[1] < 1_000
