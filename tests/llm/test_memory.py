@@ -26,3 +26,21 @@ def test_groups_forget_them(spark):
 
     # workers that packed last are the ones that are taken again
     assert all(row.n == 0 for row in spark.range(4).repartition(1).mapInArrow(remembered, "n long").collect())
+
+
+def test_frequent_words_are_remembered(monkeypatch):
+    """More words than are remembered: rare ones go, and all ids stay right."""
+    monkeypatch.setattr(tokens, "REMEMBERED", 50)
+    monkeypatch.setattr(tokens, "KEPT", 4)
+    odd = ["<|STARTOFTEXT|>", "a<|endoftext|>b", "<|", "it's,", "Été", "é", "漢字"]
+    texts = [" ".join(["often", "again", "the", *(f"rare{i}x{j}" for j in range(40)), *odd, "often", "again", "the"]).encode() for i in range(6)]
+    words = tokens.WordIds()
+    plain = words.tokenizer.from_file(tokens.tokenizer_path())
+    learned = []
+    learn = words.learn
+    monkeypatch.setattr(words, "learn", lambda new: (learned.extend(new), learn(new)))
+    for text in texts:
+        ids, starts = words.of_texts([text, None])
+        assert ids.tolist() == plain.encode(text.decode(), add_special_tokens=False).ids
+        assert starts.tolist() == [0, len(ids), len(ids)]
+    assert len(words.place) < 110 and [learned.count(word) for word in (b"often", b"again", b"the")] == [1, 1, 1]
