@@ -27,6 +27,18 @@ SNAPSHOT = Snapshot("2000-06-30", "2000-06-30")
 EARLIER = Snapshot("2000-03-31", "2000-03-31")
 
 
+class OnDemand(dict):
+    """Tables by name, each made when it is first asked for."""
+
+    def __init__(self, makers: dict[str, Callable[[], DataFrame]]):
+        super().__init__()
+        self.makers = makers
+
+    def __missing__(self, name: str) -> DataFrame:
+        made = self[name] = self.makers[name]()
+        return made
+
+
 class Book:
     """The credit tables over one set of test tables, each a lazy plan."""
 
@@ -51,11 +63,16 @@ class Book:
 
     @cached_property
     def cleaned(self) -> dict[str, DataFrame]:
-        """The cleaned tables, stored: several tables build on each of them, and
-        the latest row of a key is looked for once only. Of payments, what
-        installments are matched with."""
-        made = {"customers": self.customers, "loans": self.loans, "payments": self._matched_payments}
-        return {name: tables.staged(rows, name) for name, rows in made.items()}
+        """The cleaned tables, stored where they are asked for: several tables
+        build on each of them, and the latest row of a key is looked for once
+        only. Of payments, what installments are matched with."""
+        return OnDemand(
+            {
+                "customers": lambda: tables.staged(self.customers, "customers"),
+                "loans": lambda: tables.staged(self.loans, "loans"),
+                "payments": lambda: tables.staged(self._matched_payments, "payments"),
+            }
+        )
 
     @property
     def _matched_payments(self) -> DataFrame:
@@ -65,7 +82,8 @@ class Book:
         """The same tables as of another snapshot. Customers and loans hold no
         date of it and are not stored anew."""
         other = Book(self.spark, self.sf_dir, snapshot)
-        other.cleaned = self.cleaned | {"payments": tables.staged(other._matched_payments, "payments")}
+        shared = {name: lambda name=name: self.cleaned[name] for name in ("customers", "loans")}
+        other.cleaned = OnDemand(other.cleaned.makers | shared)
         return other
 
     @cached_property
@@ -381,9 +399,12 @@ def vintage_ages(book: Book) -> DataFrame:
 
 
 def dq_derived(book: Book) -> DataFrame:
+    # the loan table reads installments too, and matching them costs far more
+    installments = tables.staged(book.installments.select(performance.TOTALLED_COLUMNS), "installments")
+    of_loans = gold.int_loan_performance(book.cleaned["loans"], installments, book.snapshot)
     flagged = {
-        "int_installments": checks.count_flags(book.installments, ["dq_parcela_sem_registro_pagamento"]),
-        "int_loan_performance": checks.count_flags(book.performance, ["dq_status_divergente"]),
+        "int_installments": checks.count_flags(installments, ["dq_parcela_sem_registro_pagamento"]),
+        "int_loan_performance": checks.count_flags(of_loans, ["dq_status_divergente"]),
         "raw_loans": checks.count_flags(
             book.raw["loans"].select(bronze.padded("prazo_meses").alias("prazo_meses_com_espaco")),
             ["prazo_meses_com_espaco"],

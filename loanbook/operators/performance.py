@@ -9,6 +9,17 @@ from loanbook.functions import credit
 from loanbook.operators.joins import lookup
 
 
+#: What is read of an installment.
+TOTALLED_COLUMNS = [
+    "loan_id",
+    "data_vencimento",
+    "data_corte",
+    "valor_em_aberto",
+    "dpd_efetivo",
+    "dq_parcela_sem_registro_pagamento",
+]
+
+
 def loan_totals(installments: DataFrame, *more: Column) -> DataFrame:
     """One row per loan: current arrears, open balance and lateness marks, and
     any further aggregates."""

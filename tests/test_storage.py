@@ -58,3 +58,19 @@ def test_stored_tables_are_compressed_well(spark, tmp_path):
     tables.write_table(spark.range(9), str(tmp_path / "t"))
     assert glob.glob(f"{tmp_path}/t/*.zstd.parquet")
     assert all(name.endswith(".zstd.parquet") for name in tables.staged(spark.range(9), "t").inputFiles())
+
+
+def _stored_by(monkeypatch, job):
+    """Names and columns of the tables a query stores."""
+    stored = []
+    staged = tables.staged
+    monkeypatch.setattr(tables, "staged", lambda rows, name: stored.append((name, set(rows.columns))) or staged(rows, name))
+    job()
+    return stored
+
+
+def test_flag_counts_match_payments_once(spark, monkeypatch):
+    plans = []
+    stored = _stored_by(monkeypatch, lambda: plans.append(plan(queries.dq_derived(queries.Book(spark, SF_DIR)))))
+    assert sorted(name for name, _ in stored) == ["installments", "loans", "payments"]
+    assert "bit_or" not in plans[0]
