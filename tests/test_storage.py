@@ -74,3 +74,9 @@ def test_flag_counts_match_payments_once(spark, monkeypatch):
     stored = _stored_by(monkeypatch, lambda: plans.append(plan(queries.dq_derived(queries.Book(spark, SF_DIR)))))
     assert sorted(name for name, _ in stored) == ["installments", "loans", "payments"]
     assert "bit_or" not in plans[0]
+
+
+def test_checks_store_what_they_read(spark, monkeypatch):
+    stored = dict(_stored_by(monkeypatch, lambda: queries.QUERIES["check_not_null"](queries.Book(spark, SF_DIR))))
+    assert "data_ingestao" not in stored["payments"] and not any(name.startswith("dq_") for name in stored["payments"])
+    assert stored["installments"] == set(queries.READ_OF_INSTALLMENTS)
