@@ -80,3 +80,8 @@ def test_checks_store_what_they_read(spark, monkeypatch):
     stored = dict(_stored_by(monkeypatch, lambda: queries.QUERIES["check_not_null"](queries.Book(spark, SF_DIR))))
     assert "data_ingestao" not in stored["payments"] and not any(name.startswith("dq_") for name in stored["payments"])
     assert stored["installments"] == set(queries.READ_OF_INSTALLMENTS)
+
+
+def test_unique_keys_need_no_stored_installments(spark, monkeypatch):
+    stored = _stored_by(monkeypatch, lambda: queries.QUERIES["check_unique"](queries.Book(spark, SF_DIR)))
+    assert sorted(name for name, _ in stored) == ["customers", "loans", "payments", "performance"]
