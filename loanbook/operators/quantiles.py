@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, replace
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,6 +34,10 @@ class _Search:
     def value(self) -> Column:
         return F.col(self.column)
 
+    @property
+    def window(self) -> tuple:
+        return self.column, self.low, self.high
+
     @property
     def inside(self) -> Column:
         within = self.value.isNotNull()
@@ -50,36 +53,55 @@ class _Search:
         return [max(at - BRACKET, 0.0), min(at + BRACKET, 1.0)]
 
 
+def _once(keys: list) -> dict:
+    """The place of every different key, so that searches in the same window,
+    as both neighbours of a rank mostly are, are worked out once."""
+    return {key: place for place, key in enumerate(dict.fromkeys(keys))}
+
+
 def _measure(rows: DataFrame, searches: list[_Search]) -> list[tuple[int, list[float]]]:
-    """Distinct values (estimated) and bracketing values of every search, in one job."""
+    """Distinct values (estimated) and bracketing values of every search, in one
+    job and with one sketch for all searches of a window."""
+    places = _once([s.window for s in searches])
+    first_of = {s.window: s for s in reversed(searches)}
+    shares = {window: list(_once([x for s in searches if s.window == window for x in s.bracket])) for window in places}
     measured = rows.agg(
         *[
             F.struct(
                 F.approx_count_distinct(F.when(s.inside, s.value)),
-                F.percentile_approx(F.when(s.inside, s.value), s.bracket, SKETCH_ACCURACY),
+                F.percentile_approx(F.when(s.inside, s.value), shares[window], SKETCH_ACCURACY),
             )
-            for s in searches
+            for window, s in ((window, first_of[window]) for window in places)
         ]
     ).first()
-    return [tuple(cell) for cell in measured]
+
+    def of(s: _Search) -> tuple[int, list[float]]:
+        distinct, values = measured[places[s.window]]
+        at = dict(zip(shares[s.window], values or []))
+        return distinct, [at.get(share) for share in s.bracket]
+
+    return [of(s) for s in searches]
 
 
 def _narrow(rows: DataFrame, searches: list[_Search], brackets: list[list[float]]):
     """Follow each rank to one of: below the bracket, its ends, inside, above."""
+    keys = [(s.window, low, high) for s, (low, high) in zip(searches, brackets)]
+    places = _once(keys)
+    first_of = {key: s for key, s in reversed([*zip(keys, searches)])}
     counts = rows.agg(
         *[
             F.struct(
-                F.count_if(s.inside & (s.value < low)),
-                F.count_if(s.value == low),
-                F.count_if((s.value > low) & (s.value < high)),
-                F.count_if(s.value == high),
+                F.count_if(first_of[key].inside & (first_of[key].value < key[1])),
+                F.count_if(first_of[key].value == key[1]),
+                F.count_if((first_of[key].value > key[1]) & (first_of[key].value < key[2])),
+                F.count_if(first_of[key].value == key[2]),
             )
-            for s, (low, high) in zip(searches, brackets)
+            for key in places
         ]
     ).first()
     found, open_searches = {}, {}
     for position, (s, (low, high)) in enumerate(zip(searches, brackets)):
-        below, at_low, between, at_high = counts[position]
+        below, at_low, between, at_high = counts[places[keys[position]]]
         at_high = 0 if low == high else at_high
         if s.rank < below:
             open_searches[position] = replace(s, high=low, size=below)
@@ -98,16 +120,26 @@ def _narrow(rows: DataFrame, searches: list[_Search], brackets: list[list[float]
 
 
 def _count_out(rows: DataFrame, searches: dict[int, _Search]) -> dict[int, float]:
-    """Resolve searches with few distinct values by running totals over them."""
-    totals = F.sum("rows").over(Window.partitionBy("search").orderBy("value"))
+    """Resolve searches with few distinct values by running totals over them;
+    the values of all windows are counted in one pass."""
+    places = _once([s.window for s in searches.values()])
+    first_of = {s.window: s for s in reversed(searches.values())}
+    within = [
+        F.when(first_of[window].inside, F.struct(F.lit(place).alias("window"), first_of[window].value.alias("value")))
+        for window, place in places.items()
+    ]
+    counted = (
+        rows.select(F.inline(F.array_compact(F.array(*within))))
+        .groupBy("window", "value")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    totals = F.sum("rows").over(Window.partitionBy("window").orderBy("value"))
 
-    def resolved(position: int, s: _Search) -> DataFrame:
-        values = rows.where(s.inside).groupBy(s.value.alias("value")).agg(F.count(F.lit(1)).alias("rows"))
-        reached = values.withColumn("search", F.lit(position)).withColumn("total", totals)
-        return reached.where(F.col("total") > s.rank).groupBy("search").agg(F.min("value").alias("value"))
+    def at(s: _Search) -> Column:
+        return F.min(F.when((F.col("window") == places[s.window]) & (F.col("total") > s.rank), F.col("value")))
 
-    parts = [resolved(position, s) for position, s in searches.items()]
-    return {row.search: row.value for row in reduce(DataFrame.union, parts).collect()}
+    found = counted.withColumn("total", totals).agg(*[at(s) for s in searches.values()]).first()
+    return dict(zip(searches, found))
 
 
 def values_at_ranks(rows: DataFrame, wanted: list[tuple[str, int, int]]) -> list[float]:

@@ -102,3 +102,31 @@ def test_top_values_count_few_values_in_full(spark):
     assert [tuple(row) for row in top.collect()] == [(-1, 50_000), (-9, 1000), (-8, 1000), (-7, 1000)]
     plan = top._jdf.queryExecution().optimizedPlan().toString()
     assert "_rows#" in plan and ">= 1000" in plan
+
+
+@pytest.mark.parametrize("few", [quantiles.FEW_VALUES, 40])
+def test_quantiles_share_sketches_and_scans(spark, monkeypatch, few):
+    """Ranks of the same window are measured, narrowed and counted out together."""
+    monkeypatch.setattr(quantiles, "FEW_VALUES", few)
+    asked = {"percentile_approx": [], "count_if": []}
+    for name, calls in asked.items():
+        made = getattr(F, name)
+        monkeypatch.setattr(quantiles.F, name, lambda *a, made=made, calls=calls: calls.append(a) or made(*a))
+    rows = spark.range(20_000).select(((F.col("id") * 7919) % 20_000).cast("double").alias("x"), F.lit(1.0).alias("y"))
+    found = quantiles.exact_quantiles(rows, ["x", "y"], [0.25, 0.5, 0.75])
+    assert found == {"x": [4999.75, 9999.5, 14999.25], "y": [1.0, 1.0, 1.0]}
+    windows = [str(value) for value, *_ in asked["percentile_approx"]]
+    assert len(windows) == len(set(windows)) and len(windows) < 12
+    assert len(asked["count_if"]) <= 6 * 4
+
+
+def test_values_are_counted_out_in_one_pass(spark):
+    rows = spark.createDataFrame([(float(i % 9), float(i % 4), None if i % 2 else 1.0) for i in range(100)], "a double, b double, c double")
+    searches = {i: quantiles._Search(column, rank, 100) for i, (column, rank) in enumerate([("a", 3), ("a", 98), ("b", 50), ("c", 49)])}
+    scanned = []
+    class Watched:
+        def __getattr__(self, name):
+            scanned.append(name)
+            return getattr(rows, name)
+    assert quantiles._count_out(Watched(), searches) == {0: 0.0, 1: 8.0, 2: 2.0, 3: 1.0}
+    assert len(scanned) == 1
