@@ -85,3 +85,24 @@ def test_checks_store_what_they_read(spark, monkeypatch):
 def test_unique_keys_need_no_stored_installments(spark, monkeypatch):
     stored = _stored_by(monkeypatch, lambda: queries.QUERIES["check_unique"](queries.Book(spark, SF_DIR)))
     assert sorted(name for name, _ in stored) == ["customers", "loans", "payments", "performance"]
+
+
+def test_installment_table_describes_loans_once(spark, monkeypatch):
+    marts = []
+    stored = _stored_by(monkeypatch, lambda: marts.append(queries.Book(spark, SF_DIR).installment_mart))
+    assert [name for name, _ in stored] == ["described-loans"]
+    cleaned = queries.Book(spark, SF_DIR).cleaned
+    expected = queries.gold.mart_credit_installments(
+        cleaned["loans"], cleaned["payments"], cleaned["customers"], queries.SNAPSHOT
+    )
+    assert marts[0].dtypes == expected.dtypes
+    found, expected = (sorted(map(str, queries.rounded(rows).collect())) for rows in (marts[0], expected))
+    assert found == expected and found
+
+
+def test_phases_do_not_travel(spark):
+    """The match adds a run to a loan and a cell to a payment, and no phase."""
+    book = queries.Book(spark, SF_DIR)
+    matched = queries.schedule.match_payments(book.loans, book.payments)
+    text = matched._jdf.queryExecution().optimizedPlan().toString()
+    assert "_phase" not in text and "_cell" in text
