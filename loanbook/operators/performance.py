@@ -39,19 +39,26 @@ def status_from_totals() -> Column:
     return credit.derived_status(F.col("saldo_em_aberto_aprox"), F.col("dpd_atual"))
 
 
-def loan_performance(loans: DataFrame, installments: DataFrame, cut: Column) -> DataFrame:
+#: What is read of a loan.
+LOAN_COLUMNS = [
+    "loan_id",
+    "customer_id",
+    "data_concessao",
+    "valor_contratado",
+    "prazo_meses",
+    "taxa_juros_anual",
+    "status_reportado",
+]
+RECURRENCE = ["qtd_contratos_cliente", "cliente_recorrente"]
+
+
+def loan_performance(
+    loans: DataFrame, installments: DataFrame, cut: Column, carried: tuple[str, ...] | list[str] = ()
+) -> DataFrame:
     """Every loan with its totals, derived status and whether that contradicts
     the reported one. Loans without a schedule keep NULL totals."""
     return (
-        loans.select(
-            "loan_id",
-            "customer_id",
-            "data_concessao",
-            "valor_contratado",
-            "prazo_meses",
-            "taxa_juros_anual",
-            "status_reportado",
-        )
+        loans.select(*LOAN_COLUMNS, *carried)
         .join(loan_totals(installments), "loan_id", "left")
         .withColumn("data_corte", cut)
         .withColumn("status_derivado", status_from_totals())
@@ -73,4 +80,4 @@ def customer_contracts(loans: DataFrame) -> DataFrame:
 def with_recurrence(performance: DataFrame) -> DataFrame:
     """Loans with their customer's contract count; none for a NULL customer."""
     joined = lookup(performance, customer_contracts(performance), "customer_id")
-    return joined.select(*performance.columns, "qtd_contratos_cliente", "cliente_recorrente")
+    return joined.select(*performance.columns, *RECURRENCE)

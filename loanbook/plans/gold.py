@@ -96,6 +96,19 @@ def mart_credit_loans(loan_performance: DataFrame) -> DataFrame:
     return performance.with_recurrence(loan_performance)
 
 
+def credit_loans(loans: DataFrame, installments: DataFrame, snapshot: Snapshot) -> DataFrame:
+    """The rows of ``mart_credit_loans`` where the performance table is not stored.
+
+    Each loan is one row of that table, so contracts are counted on the loans and
+    looked up before these meet their totals: the rows shuffled by customer are
+    then narrower by what the totals hold.
+    """
+    counted = performance.with_recurrence(loans.select(performance.LOAN_COLUMNS))
+    rows = performance.loan_performance(counted, installments, snapshot.cut, performance.RECURRENCE)
+    others = [name for name in rows.columns if name not in performance.RECURRENCE]
+    return rows.select(*others, *performance.RECURRENCE)
+
+
 def mart_kpis_daily(loans: DataFrame, installments: DataFrame, snapshot: Snapshot) -> DataFrame:
     return kpis.daily_kpis(loans, installments, snapshot.reference)
 

@@ -56,6 +56,17 @@ def test_recurrence_ignores_missing_customers(marts):
     assert stats == {"C1": 2, "C2": 2, None: 2}
 
 
+def test_contracts_are_counted_on_loans(marts):
+    """The same rows as from the performance table; only loans are shuffled by customer."""
+    clean, rows, mart = marts
+    made = gold.credit_loans(clean, rows, DAY)
+    assert made.dtypes == mart.dtypes
+    assert sorted(map(str, made.collect())) == sorted(map(str, mart.collect()))
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    totals, lookup = (plan.index(f"LeftOuter, ({key}") for key in ("loan_id", "(customer_id"))
+    assert totals < lookup
+
+
 def as_dict(rows):
     return {row.kpi_nome: (row.data_referencia, row.kpi_valor) for row in rows.collect()}
 

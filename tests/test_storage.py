@@ -87,6 +87,18 @@ def test_unique_keys_need_no_stored_installments(spark, monkeypatch):
     assert sorted(name for name, _ in stored) == ["customers", "loans", "payments", "performance"]
 
 
+def test_loan_table_stores_no_payments(spark, monkeypatch):
+    """Both steps of the match read the shuffle of the latest-row step."""
+    marts = []
+    stored = _stored_by(monkeypatch, lambda: marts.append(queries.Book(spark, SF_DIR).loan_mart))
+    assert [name for name, _ in stored] == ["loans"]
+    book = queries.Book(spark, SF_DIR)
+    expected = queries.gold.mart_credit_loans(book.performance)
+    assert marts[0].dtypes == expected.dtypes
+    found, expected = (sorted(map(str, queries.rounded(rows).collect())) for rows in (marts[0], expected))
+    assert found == expected and found
+
+
 def test_installment_table_describes_loans_once(spark, monkeypatch):
     marts = []
     stored = _stored_by(monkeypatch, lambda: marts.append(queries.Book(spark, SF_DIR).installment_mart))
