@@ -118,3 +118,30 @@ def test_phases_do_not_travel(spark):
     matched = queries.schedule.match_payments(book.loans, book.payments)
     text = matched._jdf.queryExecution().optimizedPlan().toString()
     assert "_phase" not in text and "_cell" in text
+
+
+def test_shuffles_go_once_a_table_is_stored(spark, tmp_path, monkeypatch):
+    """Each write runs with the setting, and leaves the session as it was."""
+    from loanbook.sources import csv_files, folders, scratch
+
+    def set_now():
+        return spark.conf.get(scratch.SHUFFLES_GO, None)
+
+    before, seen = set_now(), []
+    write = type(spark.range(1)).write
+
+    monkeypatch.setattr(type(spark.range(1)), "write", property(lambda rows: seen.append(set_now()) or write.fget(rows)))
+    scratch.staged(spark.range(9), "t")
+    tables.write_table(spark.range(9), str(tmp_path / "t"))
+    csv_files.write_csv(spark.range(9), str(tmp_path / "c"))
+    with folders.stored(spark.range(9), "s") as rows:
+        path = rows.inputFiles()[0].rpartition("/")[0]
+        assert rows.count() == 9 and folders.exists(spark, path)
+    assert not folders.exists(spark, path)
+    assert seen == ["true"] * 4 and set_now() == before
+
+
+def test_stored_tables_are_matched_after_the_latest_rows(spark):
+    """What the latest-row step shuffles is not there while payments are matched."""
+    mart = queries.Book(spark, SF_DIR).installment_mart
+    assert "row_number" not in plan(mart)
