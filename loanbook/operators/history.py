@@ -12,11 +12,16 @@ Hot keys: versions meet installments in an inner join, which adaptive execution
 splits; which dates an installment has no payment at follows from one bit mask
 for each loan and due date, OR-ed before the shuffle. Events are summed before
 they are shuffled, by indicator and date.
+
+Disk: every step is stored before the next one begins, and what it was made of
+is removed then, so that the shuffles of two steps never lie beside each other.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
+from contextlib import ExitStack, contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,7 +30,8 @@ from pyspark.sql import functions as F
 from loanbook import contract as c
 from loanbook.functions import credit
 from loanbook.operators.performance import customer_contracts
-from loanbook.operators.schedule import installment_schedule
+from loanbook.operators.schedule import installment_schedule, paid_on_grid
+from loanbook.sources.folders import stored
 from loanbook.sources.tables import staged
 
 #: Dates in one pass: a bit each, in a mask of 64 bits.
@@ -40,21 +46,40 @@ def _dates_before(day: Column, dates: list[dt.date]) -> Column:
     return F.coalesce(number, F.lit(len(dates)))
 
 
-def payment_versions(payments: DataFrame, dates: list[dt.date]) -> DataFrame:
-    """Typed payments with the places of the dates at which they are the latest
-    visible row of their key: from ``_from`` on, before ``_until``."""
+VERSION_COLUMNS = ["loan_id", "data_vencimento", "data_pagamento", "valor_parcela", "valor_pago"]
+
+
+def first_of_day(payments: DataFrame, dates: list[dt.date]) -> DataFrame:
+    """One row of each key and ingestion date, of those visible at some date."""
     others = [name for name in payments.columns if name not in ("payment_id", "data_ingestao")]
     same_day = Window.partitionBy("payment_id", "data_ingestao").orderBy(*[F.asc_nulls_last(name) for name in others])
-    # rows without an ingestion date are visible at no date
-    first = payments.where(F.col("data_ingestao").isNotNull()).withColumn("_rank", F.row_number().over(same_day))
+    # rows without an ingestion date, or with one after all dates, are visible at none
+    visible = payments.where(F.col("data_ingestao") <= F.lit(dates[-1]))
+    ranked = visible.withColumn("_rank", F.row_number().over(same_day)).where("_rank = 1")
+    return ranked.select("payment_id", "data_ingestao", *VERSION_COLUMNS)
+
+
+def payment_versions(first: DataFrame, dates: list[dt.date]) -> DataFrame:
+    """The first rows of each day with the places of the dates at which they are the
+    latest visible row of their key: from ``_from`` on, before ``_until``."""
     in_order = Window.partitionBy("payment_id").orderBy("data_ingestao")
-    spans = first.where("_rank = 1").withColumns(
+    spans = first.withColumns(
         {
             "_from": _dates_before(F.col("data_ingestao"), dates),
             "_until": _dates_before(F.lead("data_ingestao").over(in_order), dates),
         }
     )
-    return spans.where("_from < _until").drop("_rank")
+    return spans.where("_from < _until").select(*VERSION_COLUMNS, "_from", "_until")
+
+
+@contextmanager
+def stored_versions(payments: DataFrame, dates: list[dt.date]) -> Iterator[DataFrame]:
+    """Versions in a table, while they are read for the match and for the dates
+    without payment."""
+    with ExitStack() as kept:
+        with stored(first_of_day(payments, dates), "payment-days") as first:
+            versions = kept.enter_context(stored(payment_versions(first, dates), "payment-versions"))
+        yield versions
 
 
 def _spans_without_payment(installments: DataFrame, versions: DataFrame, number: int) -> DataFrame:
@@ -69,21 +94,18 @@ def _spans_without_payment(installments: DataFrame, versions: DataFrame, number:
     return rows.select("*", F.inline(spans)).drop("_paid")
 
 
-def installment_spans(loans: DataFrame, payments: DataFrame, dates: list[dt.date]) -> DataFrame:
-    """Rows of the installment table with the places of the dates they hold at:
-    ``loan_id``, amounts, whether paid on time, and ``_from``, ``_until``, with
-    the places ``_due``, ``_late30`` and ``_late90`` from which they are due and
-    so many days late."""
-    keys = ["loan_id", "data_vencimento"]
-    versions = payment_versions(payments, dates).select(
-        *keys, "data_pagamento", "valor_parcela", "valor_pago", "_from", "_until"
-    )
-    # read for the match and for the dates without payment
-    versions = staged(versions, "payment-versions")
+def _paid(loans: DataFrame, versions: DataFrame) -> DataFrame:
+    """Versions with the amount due of their installment, from the loans alone."""
+    per_loan = loans.select("loan_id", "data_concessao", "prazo_meses", "pmt_teorica")
+    return paid_on_grid(per_loan, versions).select(*VERSION_COLUMNS, "pmt_teorica", "_from", "_until")
+
+
+def _unpaid(loans: DataFrame, versions: DataFrame, number: int) -> DataFrame:
     installments = installment_schedule(loans).select("loan_id", "data_vencimento", "pmt_teorica")
-    matched = installments.join(versions, keys)
-    unpaid = _spans_without_payment(installments, versions, len(dates))
-    rows = matched.unionByName(unpaid, allowMissingColumns=True)
+    return _spans_without_payment(installments, versions, number)
+
+
+def _measured_spans(rows: DataFrame, dates: list[dt.date]) -> DataFrame:
     due = credit.amount_due(F.col("valor_parcela"), F.col("pmt_teorica"))
     paid = credit.amount_paid(F.col("valor_pago"))
     late = lambda days: _dates_before(F.date_add("data_vencimento", days), dates)
@@ -103,6 +125,22 @@ def installment_spans(loans: DataFrame, payments: DataFrame, dates: list[dt.date
     )
 
 
+def span_parts(loans: DataFrame, versions: DataFrame, dates: list[dt.date]) -> list[DataFrame]:
+    """Rows of the installment table with the places of the dates they hold at:
+    ``loan_id``, amounts, whether paid on time, and ``_from``, ``_until``, with
+    the places ``_due``, ``_late30`` and ``_late90`` from which they are due and
+    so many days late. Those with a payment, and those without one."""
+    nothing = {name: F.lit(None).cast(versions.schema[name].dataType) for name in VERSION_COLUMNS[2:]}
+    unpaid = _unpaid(loans, versions, len(dates)).withColumns(nothing)
+    return [_measured_spans(rows, dates) for rows in (_paid(loans, versions), unpaid)]
+
+
+def installment_spans(loans: DataFrame, payments: DataFrame, dates: list[dt.date]) -> DataFrame:
+    """Both parts of the spans, from typed payments."""
+    with stored_versions(payments, dates) as versions:
+        return staged(reduce(DataFrame.unionByName, span_parts(loans, versions, dates)), "installment-spans")
+
+
 def running_sums(spans: DataFrame, number: int) -> DataFrame:
     """The sums of the installment indicators by place of the date: a value
     begins to count at one place and ends at another."""
@@ -133,23 +171,39 @@ def running_sums(spans: DataFrame, number: int) -> DataFrame:
 
 def defaulted_loans(spans: DataFrame, number: int) -> DataFrame:
     """How many loans have an open installment 90 days late, by place."""
-    begin = F.greatest("_late90", "_from")
-    late = spans.where((F.col("open") > 0) & F.col("loan_id").isNotNull()).withColumn("_begin", begin).where("_begin < _until")
+    late = spans.where(_in_default()).withColumn("_begin", F.greatest("_late90", "_from"))
     per_loan = late.groupBy("loan_id").agg(F.bit_or(F.expr("shiftleft(1L, _until) - shiftleft(1L, _begin)")).alias("_late"))
     each = per_loan.select(F.explode(F.expr(f"filter(sequence(0, {number - 1}), i -> (shiftright(_late, i) & 1) = 1)")).alias("place"))
     return each.groupBy("place").agg(F.count("*").alias("defaulted"))
 
 
+def _in_default() -> Column:
+    """Whether a span may put its loan in default."""
+    return (F.col("open") > 0) & F.col("loan_id").isNotNull() & (F.greatest("_late90", "_from") < F.col("_until"))
+
+
+def _measured(loans: DataFrame, payments: DataFrame, dates: list[dt.date]) -> DataFrame:
+    """One row for each date, stored: what it was made of is removed."""
+    number = len(dates)
+    with ExitStack() as kept:
+        with stored_versions(payments, dates) as versions:
+            parts = []
+            for part in span_parts(loans, versions, dates):
+                # the loan is read of those in default only
+                part = part.withColumn("loan_id", F.when(_in_default(), F.col("loan_id")))
+                parts.append(kept.enter_context(stored(part, "installment-spans")))
+        # read for the sums and for the loans in default
+        spans = reduce(DataFrame.unionByName, parts)
+        return staged(running_sums(spans, number).join(defaulted_loans(spans, number), "place", "left"), "measured-dates")
+
+
 def _kpis_of(loans: DataFrame, payments: DataFrame, dates: list[dt.date]) -> DataFrame:
-    # read for the sums and for the loans in default
-    spans = staged(installment_spans(loans, payments, dates), "installment-spans")
     shares = customer_contracts(loans).agg(
         F.sum("qtd_contratos_cliente").alias("loans"),
         credit.ratio(F.count_if("cliente_recorrente"), F.count(F.lit(1))).alias("recurring"),
     )
-    measured = running_sums(spans, len(dates)).join(defaulted_loans(spans, len(dates)), "place", "left")
     # one row of loan counts beside one row for each date
-    measured = measured.withColumn("_one", F.lit(1)).join(shares.withColumn("_one", F.lit(1)), "_one")
+    measured = _measured(loans, payments, dates).withColumn("_one", F.lit(1)).join(shares.withColumn("_one", F.lit(1)), "_one")
     values = {
         "taxa_inadimplencia_contratos": credit.ratio(F.coalesce("defaulted", F.lit(0)), F.col("loans")),
         "par30_valor_em_aberto": F.col("par30"),

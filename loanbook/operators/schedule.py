@@ -119,26 +119,31 @@ def _on_grid(payments: DataFrame) -> DataFrame:
     return payments.where(usable).withColumnRenamed("loan_id", "_paid_loan")
 
 
-def _paid_installments(loans: DataFrame, payments: DataFrame) -> DataFrame:
-    reported = _on_grid(payments).select(
-        "_paid_loan",
-        "data_vencimento",
-        "data_pagamento",
-        F.col("valor_parcela").alias("valor_parcela_informada"),
-        F.col("valor_pago").alias("valor_pago_informado"),
-        F.col("atraso_dias").alias("atraso_dias_informado"),
-    )
+def paid_on_grid(loans: DataFrame, payments: DataFrame) -> DataFrame:
+    """Payments with the loan whose installment they are for, and its number."""
     number = credit.days_between(F.col("data_concessao"), F.col("data_vencimento")) / c.GRID_DAYS
     # the phase is a key that both sides work out, not a column that travels
     due = (F.col("_paid_loan") == F.col("loan_id")) & (_phase("data_vencimento") == _phase("data_concessao"))
     return (
-        reported.join(_with_term(loans), due)
+        _on_grid(payments)
+        .join(_with_term(loans), due)
         .withColumn("numero_parcela", number.cast("long"))
         .where(F.col("numero_parcela").between(1, F.col("prazo_meses")))
-        .withColumn("dq_parcela_sem_registro_pagamento", F.lit(False))
     )
 
 
+def _paid_installments(loans: DataFrame, payments: DataFrame) -> DataFrame:
+    reported = payments.select(
+        "loan_id",
+        "data_vencimento",
+        "data_pagamento",
+        F.col("valor_parcela").alias("valor_parcela_informada"),
+        F.col("valor_pago").alias("valor_pago_informado"),
+        F.col("atraso_dias").alias("atraso_dias_informado"),
+    )
+    return paid_on_grid(loans, reported).withColumn("dq_parcela_sem_registro_pagamento", F.lit(False))
+
+
 def _unpaid_installments(loans: DataFrame, payments: DataFrame) -> DataFrame:
     slot = _slot("data_vencimento")
     run = F.floor(slot / SLOTS_PER_MASK)

@@ -77,3 +77,27 @@ def test_spans_cover_each_date_once(spark):
 def test_dates_are_asked_for(spark):
     with pytest.raises(ValueError):
         history.daily_kpis_of_dates(None, None, [])
+
+
+def test_what_dates_are_made_of_is_removed(spark, tmp_path, monkeypatch):
+    """Each table goes once the next one is stored; the indicators remain."""
+    from loanbook.sources import folders
+
+    made, held = [], []
+    write, remove = folders.scratch_path, folders.remove
+    monkeypatch.setattr(folders, "scratch_path", lambda session, name: made.append(write(session, name)) or made[-1])
+    monkeypatch.setattr(folders, "remove", lambda session, path: held.append(path) or remove(session, path))
+    loans = silver.stg_loans(raw(spark, "loans", LOANS))
+    rows = gold.kpis_backfill(loans, silver.typed_payments(raw(spark, "payments", PAYMENTS)), DATES)
+    names = [path.rpartition("/")[2].rpartition("-")[0] for path in made]
+    assert names == ["payment-days", "payment-versions", "installment-spans", "installment-spans"]
+    assert held[0] == made[0] and held[1] == made[1] and sorted(held) == sorted(made)
+    assert not any(folders.exists(spark, path) for path in made)
+    assert rows.count() == 6 * len(DATES)
+
+
+def test_rows_after_all_dates_are_not_sorted(spark):
+    payments = silver.typed_payments(raw(spark, "payments", PAYMENTS))
+    first = history.first_of_day(payments, DATES[:2]).collect()
+    assert max(row.data_ingestao for row in first) <= DATES[1]
+    assert sum(row.payment_id == "P1" for row in first) == 1 and not any(row.payment_id in ("P2", "P3", "P4") for row in first)
