@@ -145,3 +145,41 @@ def test_stored_tables_are_matched_after_the_latest_rows(spark):
     """What the latest-row step shuffles is not there while payments are matched."""
     mart = queries.Book(spark, SF_DIR).installment_mart
     assert "row_number" not in plan(mart)
+
+
+def test_tables_that_stay_hold_no_dictionaries(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    rows = spark.range(2000).selectExpr("cast(id as string) as text", "id * 0.5 as number", "date'2024-01-01' as ingestion_date")
+    tables.write_table(rows, str(tmp_path / "t"))
+    bronze.write_bronze_days(rows, str(tmp_path), "days", ["2024-01-01"])
+    for path in glob.glob(f"{tmp_path}/**/*.parquet", recursive=True):
+        group = pq.ParquetFile(path).metadata.row_group(0)
+        assert not any(group.column(place).has_dictionary_page for place in range(group.num_columns))
+
+
+def test_steps_of_a_refresh_go_on_at_once(spark, tmp_path, monkeypatch):
+    """The cleaned tables are written together, the others after what they read."""
+    import threading
+
+    from loanbook import Snapshot
+    from loanbook.plans import run
+
+    for table, names in c.RAW_COLUMNS.items():
+        empty = spark.createDataFrame([], ", ".join(f"{name} string" for name in names))
+        bronze.write_bronze(empty, f"{tmp_path}/bronze", table, "2024-01-01")
+    together, order = threading.Barrier(3, timeout=60), []
+    write = tables.write_table
+
+    def watched(rows, path):
+        name = path.rpartition("/")[2]
+        if name.startswith("stg_"):
+            together.wait()
+        order.append(name)
+        return write(rows, path)
+
+    monkeypatch.setattr(tables, "write_table", watched)
+    stored = run.refresh(spark, str(tmp_path), Snapshot("2024-06-30", "2024-06-30"))
+    assert sorted(order[:3]) == ["stg_customers", "stg_loans", "stg_payments"]
+    assert order[3:] == ["loans_described", "mart_credit_installments", "mart_credit_loans"]
+    assert all(rows.count() == 0 for name, rows in stored.items() if name != "mart_kpis_daily")
