@@ -1,6 +1,7 @@
 """The language model learns every position and knows every word of the corpus."""
 
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -20,14 +21,13 @@ def test_every_position_is_learned_in_one_round():
 
 def test_rounds_learn_from_every_token(spark, monkeypatch):
     docs = spark.createDataFrame([(i, "one two three " * i) for i in range(20)], "doc_id long, text string")
-    slices = masked_lm.staged(masked_lm.encoded(docs, [b"one", b"two"]), "codes")
+    slices = masked_lm.staged(masked_lm.encoded(docs), "codes")
     # a step that only counts what it is given
     monkeypatch.setattr(masked_lm, "descend", lambda flat, power, target, context: flat.__setitem__(0, flat[0] + len(target)))
-    monkeypatch.setattr(masked_lm, "ROUNDS", 2)
-    seen = 0
+    classes, seen = masked_lm.Classes([], 0), 0
     for number in range(2):
         frames = slices.coalesce(1)
-        seen += masked_lm.trained_round(frames, np.zeros(masked_lm.SIZE, np.float32), number, 2)[0]
+        seen += masked_lm.trained_round(frames, classes, np.zeros(masked_lm.SIZE, np.float32), number, 2)[0]
     assert seen == 3 * sum(range(20))
 
 
@@ -57,8 +57,8 @@ def test_counts_of_the_corpus_by_brute_force(spark, monkeypatch):
     texts = [" ".join(rng.choices("abcde", k=rng.randrange(9))) for _ in range(40)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     monkeypatch.setattr(masked_lm, "SLICE_TOKENS", 20)
-    slices = masked_lm.staged(masked_lm.encoded(docs, [b"a", b"b"]), "codes")
-    sheaves = masked_lm.corpus_sheaves(slices, 2)
+    slices = masked_lm.staged(masked_lm.encoded(docs), "codes")
+    sheaves = masked_lm.word_sheaves(slices, 2).unionByName(masked_lm.phrase_sheaves(slices, 2))
     totals = masked_lm.corpus_totals(sheaves).collect()
     got: dict = {}
     for sheaf in sheaves.collect():
@@ -81,6 +81,26 @@ def test_counts_of_the_corpus_by_brute_force(spark, monkeypatch):
     assert sorted(got.values()) == pytest.approx(sorted(expected.values()))
 
 
+def test_classes_are_the_most_frequent_words(spark, monkeypatch):
+    monkeypatch.setattr(masked_lm, "SLICE_TOKENS", 50)
+    texts = [f"w{i} " * (i + 1) + "rest" for i in range(120)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    slices = masked_lm.staged(masked_lm.encoded(docs), "codes")
+    assert masked_lm.token_count(slices) == sum(range(121)) + 120
+    totals = masked_lm.corpus_totals(masked_lm.word_sheaves(slices, 2))
+    leaders = totals.selectExpr("inline(leaders)").orderBy("n", ascending=False).limit(masked_lm.WORDS).collect()
+    assert [row.n for row in leaders] == [120, 120, *range(119, 26, -1)]
+    classes = masked_lm.Classes([row.key for row in leaders], 2)
+    places = masked_lm.Places()
+    for word in ("rest", "w119", "w118", "w27", "w26", "w25"):
+        places[word.encode()]
+    found = classes.of(np.array(places.tokens, dtype=np.uint64)).tolist()
+    assert sorted(found[:2]) == [0, 1] and found[2:5] == [2, 93, 94]
+    assert found[5] == masked_lm.WORDS + zlib.crc32(b"w25") % masked_lm.ENDINGS
+    counts = masked_lm.class_counts(slices, classes)
+    assert counts[:3].tolist() == [120, 120, 119] and counts.sum() == sum(range(121)) + 120
+
+
 def test_scores_do_not_depend_on_slices(spark, monkeypatch):
     rows = [(i, f"a b{i % 7} c d{i % 3} e") for i in range(60)] + [(None, None), (None, "a b c")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
